@@ -19,6 +19,8 @@ _GRAM = np.uint64(0xD6E8FEB86659FD93)
 _TABLE = np.random.default_rng(20240501).integers(0, 2**64, 256, dtype=np.uint64)
 _SPACE = np.zeros(256, bool)
 _SPACE[[32, 9, 10, 11, 12, 13]] = True
+#: All ASCII but letters and digits: separators that also drop punctuation.
+PUNCTUATION = np.array([i < 128 and not chr(i).isalnum() for i in range(256)])
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _LOWER_TABLE = _TABLE[_LOWER]
@@ -59,10 +61,10 @@ def slices(col: pa.Array, most: int = 2 * _BLOCK) -> Iterator[tuple[int, int]]:
 class Words:
     """Words of a slice: byte ``start``/``end``, the row ``first`` indexes and a 64-bit ``hash``."""
 
-    def __init__(self, col: pa.Array, lower: bool):
+    def __init__(self, col: pa.Array, lower: bool, space: np.ndarray = _SPACE):
         data, off = text_buffers(col)
         self.data, self.off = data, off
-        word = ~_SPACE[data]
+        word = ~space[data]
         edge = off[:-1][off[:-1] < off[1:]]
         before = np.zeros(len(data), bool)
         before[1:] = word[:-1]

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import lines, neardup, packing, quality_rules, secret_scan, sharding, urls
+from . import decontam, lines, neardup, packing, quality_rules, repeats, secret_scan, sharding, urls
 
 URL_RULES = [("com/en/", "block"), ("example.com/en/7", "allow"), ("net/de/", "allow"), ("example.net/de/8", "block"), ("org/es/", "block")]
 
@@ -14,6 +14,10 @@ def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op1_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.contaminated(_docs(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 def op2_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_docs(spark, sf_dir))
 
@@ -49,10 +53,14 @@ def op8_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op9_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.repeated_passages(_docs(spark, sf_dir))
+
+
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality_rules.judge_documents(_docs(spark, sf_dir))
     return judged.select("doc_id", *quality_rules.STATS, "base_failed", "kept", "distance")
 
 
-QUERIES = {f.__name__: f for f in (op2_pack, op4_urls, op5_lines, op6_secrets, op7_neardup, op8_shards, op10_quality)}
+QUERIES = {f.__name__: f for f in (op1_decontam, op2_pack, op4_urls, op5_lines, op6_secrets, op7_neardup, op8_shards, op9_repeats, op10_quality)}
 ORACLE_SQL: dict[str, str] = {}
