@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, lines, neardup, packing, quality_rules, repeats, secret_scan, sharding, urls
+from . import decontam, language_model, lines, neardup, packing, quality_rules, repeats, secret_scan, sharding, urls
 
 URL_RULES = [("com/en/", "block"), ("example.com/en/7", "allow"), ("net/de/", "allow"), ("example.net/de/8", "block"), ("org/es/", "block")]
 
@@ -22,6 +22,11 @@ def op2_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_docs(spark, sf_dir))
 
 
+def op3_perplexity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return language_model.classify_quality(_docs(spark, sf_dir), labels.where("quality = 1 and toxic = 0"))
+
+
 def op4_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url")
     return urls.filter_urls(pages, URL_RULES).select("page_id", "host", "path", "rule", "verdict", "score")
@@ -62,5 +67,5 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *quality_rules.STATS, "base_failed", "kept", "distance")
 
 
-QUERIES = {f.__name__: f for f in (op1_decontam, op2_pack, op4_urls, op5_lines, op6_secrets, op7_neardup, op8_shards, op9_repeats, op10_quality)}
+QUERIES = {f.__name__: f for f in (op1_decontam, op2_pack, op3_perplexity, op4_urls, op5_lines, op6_secrets, op7_neardup, op8_shards, op9_repeats, op10_quality)}
 ORACLE_SQL: dict[str, str] = {}
