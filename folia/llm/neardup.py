@@ -127,7 +127,8 @@ def verified_links(docs: DataFrame, clusters: DataFrame, percent: int, id_col: s
     sums = clusters.groupBy("cid").agg(F.count(F.lit(1)).alias("c"), F.sum("n").alias("s"))
     blocks = sums.select("cid", F.greatest(F.ceil(F.col("c") / BLOCK_SETS), F.ceil(F.col("s") / BLOCK_SHINGLES)).cast("int").alias("blocks"))
     dealt = clusters.join(blocks, "cid").select("node", "cid", "blocks", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int").alias("b"))
-    met = docs.select(F.col(id_col).cast("long").alias("node"), F.col(text_col).alias("text")).join(dealt, "node")
+    # a sort-merge join at every size: the texts are the large side, and what they meet grows with them
+    met = docs.select(F.col(id_col).cast("long").alias("node"), F.col(text_col).alias("text")).join(dealt.hint("merge"), "node")
 
     def shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -192,10 +193,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     classes = Stored(sigs.where("n_shingles > 0 and doc_id is not null").groupBy("s1", "s2").agg(F.min("doc_id").alias("node"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands"))).df
     keys = classes.select("node", F.explode("bands").alias("key"))
     buckets = keys.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi"), F.count(F.lit(1)).alias("c")).where("lo < hi")
-    buckets = Stored(buckets).df
+    held = Stored(buckets)
+    buckets = held.df
     two = buckets.where("c = 2").select(F.col("hi").alias("u"), F.col("lo").alias("v"))
     more = keys.join(buckets.where("c > 2").select("key", "lo"), "key").where("node > lo").select(F.col("node").alias("u"), F.col("lo").alias("v"))
     clusters = connected_components(two.union(more))
+    held.drop()
     sized = clusters.join(classes.select("node", "n"), "node").groupBy("node").agg(F.first("component").alias("cid"), F.max("n").alias("n"))
     links = verified_links(docs, Stored(sized).df, percent, id_col, text_col)
     parts = connected_components(links)
