@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import gc
 import tempfile
 import uuid
 
@@ -47,6 +48,16 @@ def _remove_all() -> None:
             return
 
 
+def release(spark: SparkSession) -> None:
+    """Lets Spark remove the shuffle files of queries whose DataFrames are gone.
+
+    It does so only when the driver collects its garbage, which a loop of small
+    queries on a large cluster may not bring about for long.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 class Stored:
     """A DataFrame written as Parquet in the shared folder; ``drop()`` ends it."""
 

@@ -5,14 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Stored
+from .common import Stored, release, salted_join
+
+#: Tasks over which the edges of one node spread in a step.
+SPREAD = 16
 
 
 def _largest(edges: DataFrame) -> DataFrame:
     """Each node links its larger neighbours to the smallest of its neighbourhood."""
     both = edges.select("u", "v").union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-    met = both.where(F.col("v") > F.col("u")).join(low, "u")
+    met = salted_join(both.where(F.col("v") > F.col("u")), low, ["u"], F.col("v"), salts=SPREAD)
     return met.select(F.col("v").alias("u"), F.col("m").alias("v"))
 
 
@@ -29,8 +32,8 @@ def connected_components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
 
     Edges stay distributed; each round is written to the shared folder and the
     last one removed, so a lost executor costs a round's partitions at most.
-    A node with many edges makes one side of a sort-merge join uneven, which
-    adaptive execution splits; minima combine before the shuffle.
+    The edges of a node with many spread over SPREAD tasks; minima combine
+    before the shuffle.
 
     Self-links and null ends are ignored, repeated edges count once, and no
     edges give no rows.
@@ -43,6 +46,7 @@ def connected_components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
         new = Stored(_smallest(_largest(now.df)).distinct())
         now.drop()
         now, old = new, mark
+        release(now.spark)
         mark = now.df.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if mark == old:
             break
