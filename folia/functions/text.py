@@ -59,11 +59,11 @@ def normalised(c: Column) -> Column:
 
 
 def has_private_glyphs(c: Column) -> Column:
-    return F.coalesce(F.rlike(c, F.lit("[-]")), F.lit(False))
+    return F.coalesce(F.rlike(c, F.lit(r"[\x{E000}-\x{F8FF}]")), F.lit(False))
 
 
 def circled_number(c: Column) -> Column:
-    return F.nullif(F.instr(F.lit(CIRCLED), c), F.lit(0))
+    return F.when(c != "", F.nullif(F.instr(F.lit(CIRCLED), c), F.lit(0)))
 
 
 def circled(n: Column) -> Column:
@@ -72,7 +72,7 @@ def circled(n: Column) -> Column:
 
 
 def mok_number(c: Column) -> Column:
-    return F.nullif(F.instr(F.lit(MOK), c), F.lit(0))
+    return F.when(c != "", F.nullif(F.instr(F.lit(MOK), c), F.lit(0)))
 
 
 def roman_number(c: Column) -> Column:
@@ -85,7 +85,7 @@ def roman_number(c: Column) -> Column:
 def glyph_type(c: Column) -> Column:
     return (
         F.when(F.rlike(c, F.lit("^[가-힣]")), "korean")
-        .when(F.rlike(c, F.lit("^[一-鿿]")), "hanja")
+        .when(F.rlike(c, F.lit(r"^[\x{4E00}-\x{9FFF}]")), "hanja")
         .when(F.rlike(c, F.lit(r"^[\p{Nd}\p{No}&&[^½¼¾]]+$")), "number")
         .when(F.rlike(c, F.lit(r"^\p{L}+$")), "english")
         .when(F.instr(F.lit("(),.，。"), c) > 0, "punctuation")
