@@ -113,8 +113,9 @@ ORACLE["block_sequence"] = f"SELECT doc_id, page_index, block_idx, seq FROM ({sq
 def _folded() -> str:
     """WITH clause whose table ``steps`` has, for every block, what it makes and under what."""
     o = [f"o{k}" for k in range(1, 11)]
-    entry = "STRUCT(s BIGINT, b INT, id VARCHAR)"
-    root = "{'s': CAST(-1 AS BIGINT), 'b': 0, 'id': section_name}"
+    entry = "STRUCT(s BIGINT, b INT, id VARCHAR, p VARCHAR)"
+    root = "{'s': CAST(-1 AS BIGINT), 'b': 0, 'id': section_name, 'p': lpad(CAST(section_idx AS VARCHAR), 6, '0')}"
+    step = lambda of, sub: f"{of}.p || '/' || lpad(CAST(seq AS VARCHAR), 10, '0') || '{sub}'"
     above = lambda k: "coalesce(" + ", ".join([*(f"u{j}" for j in range(k - 1, 0, -1)), root]) + ")"
     parent = "CASE lv " + " ".join(f"WHEN {k} THEN {above(k)}" for k in range(1, 11)) + " END"
     pushed = lambda k: f"CASE WHEN lv = {k} THEN main WHEN r IS NOT NULL AND {k} > r THEN NULL ELSE {'u6' if k == 6 else f'o{k}'} END"
@@ -125,7 +126,7 @@ def _folded() -> str:
     return f"""WITH RECURSIVE flagged AS MATERIALIZED (SELECT *, CASE WHEN forced THEN TRY_CAST({_g(X.FORCED_ARTICLE, 1)} AS INT) ELSE number END AS num, CASE WHEN forced THEN {_FORCED_BODY} ELSE body END AS text_body,
           CASE WHEN g THEN {_GLOBAL_MARKER} WHEN forced THEN '제' || TRY_CAST({_g(X.FORCED_ARTICLE, 1)} AS INT) || '조' ELSE marker END AS mark FROM ({flags}) AS f),
         steps AS (
-          SELECT doc_id, section_idx, CAST(0 AS BIGINT) AS i, CAST(-1 AS BIGINT) AS seq, {", ".join(f"CAST(NULL AS {entry}) AS {x}" for x in o)}, FALSE AS slot, 0 AS c7, 0 AS c8, 0 AS sp, '' AS kind, CAST(NULL AS INT) AS lv, CAST(NULL AS INT) AS num, CAST(NULL AS {entry}) AS main, CAST(NULL AS {entry}) AS parent, FALSE AS auto, CAST(NULL AS {entry}) AS made, CAST(NULL AS {entry}) AS auto_parent, CAST(NULL AS VARCHAR) AS type
+          SELECT doc_id, section_idx, CAST(0 AS BIGINT) AS i, CAST(-1 AS BIGINT) AS seq, {", ".join(f"CAST(NULL AS {entry}) AS {x}" for x in o)}, FALSE AS slot, 0 AS c7, 0 AS c8, 0 AS sp, '' AS kind, CAST(NULL AS INT) AS lv, CAST(NULL AS INT) AS num, CAST(NULL AS {entry}) AS main, CAST(NULL AS {entry}) AS parent, FALSE AS auto, CAST(NULL AS {entry}) AS made, CAST(NULL AS {entry}) AS auto_parent, CAST(NULL AS VARCHAR) AS type, CAST(NULL AS {entry}) AS owner, CAST(NULL AS INT) AS jo, CAST(NULL AS INT) AS jo_before
           FROM (SELECT DISTINCT doc_id, section_idx FROM flagged) AS d
           UNION ALL
           SELECT doc_id, section_idx, i, seq, {", ".join(f"{sixth if k == 6 else pushed(k)} AS o{k}" for k in range(1, 11))},
@@ -133,25 +134,94 @@ def _folded() -> str:
             CASE WHEN kind = 'G' OR lv <= 6 THEN 0 WHEN lv = 7 AND num <> 0 THEN num ELSE c7 END,
             CASE WHEN kind = 'G' OR lv <= 6 OR lv = 7 AND r = 7 THEN 0 WHEN lv = 8 AND num <> 0 THEN num ELSE c8 END,
             CASE kind WHEN 'G' THEN 2 WHEN 'S' THEN 1 WHEN 'A' THEN sp ELSE 0 END,
-            kind, lv, num, main, parent, auto, made, CASE WHEN NOT auto THEN NULL WHEN lv = 5 THEN main ELSE o5 END, type
-          FROM (SELECT *, CASE WHEN auto THEN CASE WHEN lv = 5 THEN {{'s': seq, 'b': 1, 'id': main.id || '.①'}} ELSE made0 END END AS made
-          FROM (SELECT *, CASE WHEN kind IN ('G', 'S') THEN {{'s': seq, 'b': 0, 'id': section_name || '.' || mark}} WHEN kind = 'H' THEN {{'s': seq, 'b': 0, 'id': parent.id || '.' || mark}} END AS main
+            kind, lv, num, main, parent, auto, made, CASE WHEN NOT auto THEN NULL WHEN lv = 5 THEN main ELSE o5 END, type,
+            CASE WHEN kind = 'T' AND NOT auto THEN {alive}[1] END, CASE WHEN kind = 'G' THEN NULL WHEN lv = 5 THEN num ELSE jo END, jo
+          FROM (SELECT *, CASE WHEN auto THEN CASE WHEN lv = 5 THEN {{'s': seq, 'b': 1, 'id': main.id || '.①', 'p': {step('main', 1)}}} ELSE made0 END END AS made
+          FROM (SELECT *, CASE WHEN kind IN ('G', 'S') THEN {{'s': seq, 'b': 0, 'id': section_name || '.' || mark, 'p': {step('parent', 0)}}} WHEN kind = 'H' THEN {{'s': seq, 'b': 0, 'id': parent.id || '.' || mark, 'p': {step('parent', 0)}}} END AS main
           FROM (SELECT *, CASE WHEN kind = 'G' THEN {root} WHEN kind = 'S' THEN coalesce(CASE WHEN slot THEN o5 ELSE {alive}[2] END, {root}) WHEN kind = 'H' THEN {parent} END AS parent
           FROM (SELECT *, {", ".join(f"o{k} AS u{k}" for k in range(1, 11) if k != 6)}, CASE WHEN auto AND lv > 6 THEN made0 ELSE o6 END AS u6
-          FROM (SELECT *, CASE WHEN lv = 5 THEN text_body <> '' WHEN lv > 6 OR kind = 'T' THEN o5 IS NOT NULL AND o6 IS NULL ELSE FALSE END AS auto, {{'s': seq, 'b': 1, 'id': o5.id || '.①'}} AS made0,
+          FROM (SELECT *, CASE WHEN lv = 5 THEN text_body <> '' WHEN lv > 6 OR kind = 'T' THEN o5 IS NOT NULL AND o6 IS NULL ELSE FALSE END AS auto, {{'s': seq, 'b': 1, 'id': o5.id || '.①', 'p': {step('o5', 1)}}} AS made0,
             CASE WHEN kind = 'G' THEN 0 WHEN lv <= 6 THEN lv WHEN lv = 7 AND (num = 1 OR num = c7 + 1) THEN 7 WHEN lv = 8 AND (num = 1 OR num = c8 + 1) THEN 8 WHEN lv = 9 AND num = 1 THEN 9 END AS r
           FROM (SELECT *, CASE WHEN kind = 'H' THEN coalesce(level, 5) END AS lv
-          FROM (SELECT b.doc_id, b.section_idx, b.section_name, b.i, b.seq, b.level, b.num, b.text_body, b.mark, CASE WHEN b.g OR b.level = -1 THEN 'special' WHEN b.forced THEN '조' ELSE b.type END AS type, {", ".join(f"s.{x}" for x in o)}, s.slot, s.c7, s.c8, s.sp,
+          FROM (SELECT b.doc_id, b.section_idx, b.section_name, b.i, b.seq, b.level, b.num, b.text_body, b.mark, CASE WHEN b.g OR b.level = -1 THEN 'special' WHEN b.forced THEN '조' ELSE b.type END AS type, {", ".join(f"s.{x}" for x in o)}, s.slot, s.c7, s.c8, s.sp, s.jo,
             CASE WHEN b.g THEN 'G' WHEN s.sp = 2 AND NOT b.hs OR s.sp = 1 AND NOT b.jp AND b.level IS NULL THEN 'A' WHEN b.level = -1 THEN 'S' WHEN b.level IS NOT NULL OR b.forced THEN 'H' ELSE 'T' END AS kind
           FROM steps AS s JOIN flagged AS b ON s.doc_id = b.doc_id AND s.section_idx = b.section_idx AND b.i = s.i + 1) AS q1) AS q2) AS q3) AS q4) AS q5) AS q6) AS q7
         ),
-        made_nodes AS (
-          SELECT doc_id, section_idx, seq, 0 AS sub, type, CASE WHEN type = 'special' THEN -1 ELSE lv END AS level, CASE WHEN kind = 'H' THEN num END AS number, main.id AS id, parent.s AS parent_seq, parent.b AS parent_sub FROM steps WHERE kind IN ('G', 'S', 'H')
-          UNION ALL SELECT doc_id, section_idx, seq, 1, '항', 6, 1, made.id, auto_parent.s, auto_parent.b FROM steps WHERE auto
-          UNION ALL SELECT DISTINCT doc_id, section_idx, CAST(-1 AS BIGINT), 0, 'section', 0, CAST(NULL AS INT), section_name, CAST(NULL AS BIGINT), CAST(NULL AS INT) FROM flagged)"""
-
-
-ORACLE["parse_nodes"] = f"{_folded()} SELECT * FROM made_nodes"
+        texts AS MATERIALIZED (SELECT s.*, f.section_name, f.content, f.text_body, f.forced, f.body, f.mark, f.page_index, f.branch, CASE WHEN f.g THEN left(f.content, 50) WHEN f.forced THEN {_FORCED_TITLE.replace("rest", "f.rest")} ELSE f.title END AS title FROM steps AS s JOIN flagged AS f USING (doc_id, section_idx, seq)),
+        owned AS MATERIALIZED (SELECT doc_id, section_idx, seq AS place, CASE WHEN kind = 'A' THEN max(CASE WHEN kind IN ('G', 'S') THEN seq END) OVER (PARTITION BY doc_id, section_idx ORDER BY seq) ELSE owner.s END AS seq, CASE WHEN kind = 'A' THEN 0 ELSE owner.b END AS sub, content, kind FROM texts),
+        more AS (SELECT doc_id, section_idx, seq, sub, string_agg(content, chr(10) ORDER BY place) AS added FROM owned WHERE kind = 'A' OR seq IS NOT NULL GROUP BY 1, 2, 3, 4),
+        made_nodes AS MATERIALIZED (SELECT n.*, CASE WHEN added IS NULL THEN own ELSE own || chr(10) || added END AS content, row_number() OVER (PARTITION BY doc_id ORDER BY path) - 1 AS preorder, length(path) - length(replace(path, '/', '')) AS depth FROM (
+          SELECT doc_id, section_idx, seq, 0 AS sub, type, CASE WHEN type = 'special' THEN -1 ELSE lv END AS level, CASE WHEN kind = 'H' THEN num END AS number, main.id AS id, parent.s AS parent_seq, parent.b AS parent_sub, main.p AS path,
+            CASE WHEN kind = 'H' AND lv = 5 AND NOT forced AND body <> '' THEN {_strip("replace(content, body, '')")} ELSE content END AS own, section_name, mark AS marker, title, page_index AS page, CASE WHEN kind = 'H' AND NOT forced THEN branch END AS branch FROM texts WHERE kind IN ('G', 'S', 'H')
+          UNION ALL SELECT doc_id, section_idx, seq, 1, '항', 6, 1, made.id, auto_parent.s, auto_parent.b, made.p, CASE WHEN lv = 5 THEN text_body WHEN kind = 'T' THEN content ELSE '' END AS own, section_name, '①', CASE WHEN lv = 5 THEN left(text_body, 30) WHEN kind = 'T' THEN left(content, 30) ELSE '{X.AUTO_TITLE}' END, page_index, NULL FROM texts WHERE auto
+          UNION ALL SELECT DISTINCT doc_id, section_idx, CAST(-1 AS BIGINT), 0, 'section', 0, CAST(NULL AS INT), section_name, CAST(NULL AS BIGINT), CAST(NULL AS INT), lpad(CAST(section_idx AS VARCHAR), 6, '0'), '', section_name, '', section_name, 0, NULL FROM flagged
+        ) AS n LEFT JOIN more USING (doc_id, section_idx, seq, sub))"""
+
+
+ORACLE["parse_nodes"] = f"{_folded()} SELECT doc_id, section_idx, seq, sub, type, level, number, id, parent_seq, parent_sub FROM made_nodes"
+ORACLE["node_text"] = f"{_folded()} SELECT doc_id, preorder, CAST(depth AS INT) AS depth, id, content FROM made_nodes"
+ORACLE["section_text"] = f"{_folded()} SELECT doc_id, section_idx, string_agg(content, chr(10) ORDER BY preorder) AS text FROM made_nodes WHERE content <> '' GROUP BY 1, 2"
+_GENERAL = "(SELECT doc_id, arg_min(id, section_idx) AS target FROM made_nodes WHERE type = 'section' AND contains(title, '보통약관') GROUP BY doc_id)"
+ORACLE["extends_relations"] = f"""{_folded()} SELECT DISTINCT s.doc_id, s.section_idx, s.id AS source, g.target, 'EXTENDS' AS type FROM made_nodes AS s JOIN made_nodes AS n ON n.doc_id = s.doc_id AND n.section_idx = s.section_idx JOIN {_GENERAL} AS g ON g.doc_id = s.doc_id
+    WHERE s.type = 'section' AND (contains(s.title, '추가약관') OR contains(s.title, '특별약관')) AND contains(n.content, '보통약관')"""
+_UID = "{0}.doc_id || ':' || {0}.section_idx || ':' || {0}.seq || ':' || {0}.sub"
+ORACLE["find_node"] = f"""{_folded()} SELECT s.doc_id, {_UID.format("s")} AS from_uid, q.id FROM made_nodes AS s
+    JOIN (SELECT doc_id, section_idx, min_by(seq, preorder) AS seq FROM made_nodes WHERE type = '조' AND number = 3 AND branch IS NULL AND parent_seq = -1 GROUP BY 1, 2) AS a ON a.doc_id = s.doc_id AND a.section_idx = s.section_idx
+    JOIN (SELECT doc_id, section_idx, parent_seq, parent_sub, min_by(id, preorder) AS id FROM made_nodes WHERE type = '항' AND number = 1 GROUP BY 1, 2, 3, 4) AS q ON q.doc_id = s.doc_id AND q.section_idx = s.section_idx AND q.parent_seq = a.seq AND q.parent_sub = 0 WHERE s.type = 'section'"""
+_BELOW = "starts_with(n.path, a.path || '/')"
+_SHOWN = "CASE WHEN n.marker <> '' THEN n.marker || ' ' || n.content ELSE n.content END"
+_CONTEXT = "(SELECT arg_max(k.title, k.depth) FROM made_nodes AS k WHERE k.doc_id = a.doc_id AND k.type = '관' AND starts_with(a.path, k.path || '/'))"
+_ARTICLE = f"""SELECT a.doc_id, a.section_idx, a.preorder, a.id, 'Jo' AS label, a.title, a.section_name AS section, a.number, a.branch, a.page, coalesce('[' || nullif({_CONTEXT}, '') || ']' || chr(10), '') ||
+    concat_ws(chr(10), CASE WHEN a.marker <> '' AND a.title <> '' THEN a.marker || ' (' || a.title || ')' END, nullif(a.content, ''), (SELECT string_agg({_SHOWN}, chr(10) ORDER BY n.preorder) FROM made_nodes AS n WHERE n.doc_id = a.doc_id AND n.section_idx = a.section_idx AND {_BELOW} AND {_SHOWN} <> '')) AS embedding_text
+    FROM made_nodes AS a WHERE a.type = '조'"""
+_SPECIAL = "SELECT doc_id, section_idx, preorder, id, 'Special' AS label, marker AS title, section_name AS section, CAST(NULL AS INT) AS number, CAST(NULL AS INT) AS branch, page, content AS embedding_text FROM made_nodes WHERE type = 'special' AND (contains(marker, '법규') OR contains(marker, '설명'))"
+_WORDS = "CAST(len(list_filter(regexp_split_to_array(embedding_text, '\\s+'), lambda x: x <> '')) AS INT)"
+ORACLE["embedding_inputs"] = f"{_folded()} SELECT *, {_WORDS} AS token_count FROM (SELECT * FROM ({_ARTICLE}) AS j UNION ALL {_SPECIAL}) AS e"
+
+# References: what is left of a text when its citations of laws are taken out holds the
+# internal ones; a paragraph alone counts where the text names no article.
+_LAWS = f"(SELECT doc_id, max(law = '상법') AS a, max(law = '보험업법') AS b FROM ({ORACLE['external_laws']}) AS l GROUP BY doc_id)"
+_CITED = lambda names: f"'({names})' || {_re(X.LAW_TAIL)}"
+_BY_LAWS = lambda f: f"CASE WHEN a AND b THEN {f('보험업법|상법')} WHEN a THEN {f('상법')} WHEN b THEN {f('보험업법')} ELSE {f(X.ANY_LAW)} END"
+_ALL = lambda p, n, c="text": f"regexp_extract_all({c}, {p}, {n})"
+_INT = lambda c: f"TRY_CAST({c} AS INT)"
+
+
+def _references() -> str:
+    """``found``: references in texts, with what they resolve to."""
+    part = lambda n: _BY_LAWS(lambda names: _ALL(_CITED(names), n))
+    inner = _re(X.ARTICLE_REFERENCE)
+    return f"""{_folded()}, searched AS MATERIALIZED (SELECT t.*, {_BY_LAWS(lambda names: f"regexp_replace(text, {_CITED(names)}, ' ', 'g')")} AS rest, {", ".join(f"{part(n)} AS e{n}" for n in range(6))} FROM (
+          SELECT t.*, coalesce(l.a, FALSE) AS a, coalesce(l.b, FALSE) AS b FROM (
+            SELECT doc_id, section_idx, seq, 0 AS part, seq AS owner_seq, 0 AS owner_sub, main.id AS source_id, content AS text, jo_before AS article FROM texts WHERE kind = 'H'
+            UNION ALL SELECT doc_id, section_idx, seq, 1, seq, 1, made.id, CASE WHEN lv = 5 THEN text_body ELSE content END, CASE WHEN lv = 5 THEN num ELSE jo_before END FROM texts WHERE auto AND (lv = 5 OR kind = 'T')
+            UNION ALL SELECT doc_id, section_idx, seq, 1, owner.s, owner.b, owner.id, content, jo_before FROM texts WHERE kind = 'T' AND NOT auto AND o5 IS NOT NULL) AS t
+          LEFT JOIN {_LAWS} AS l USING (doc_id)) AS t),
+        external AS (SELECT doc_id, section_idx, seq, part, owner_seq, owner_sub, source_id, unnest(e0) AS raw_text, unnest(e1) AS target_law, unnest(e2) AS s2, unnest(e3) AS s3, unnest(e4) AS s4, unnest(e5) AS s5, unnest(range(len(e0))) AS ordinal FROM searched),
+        internal AS (SELECT doc_id, section_idx, seq, part, owner_seq, owner_sub, source_id, {", ".join(f"unnest({_ALL(inner, n, 'rest')}) AS s{n}" for n in (0, 1, 2, 4, 5, 6))}, len(e0) + unnest(range(len({_ALL(inner, 0, 'rest')}))) AS ordinal FROM searched),
+        alone AS (SELECT doc_id, section_idx, seq, part, owner_seq, owner_sub, source_id, article, unnest({_ALL(_re(X.PARAGRAPH_REFERENCE), 0)}) AS raw_text, unnest({_ALL(_re(X.PARAGRAPH_REFERENCE), 1)}) AS s4, unnest(range(len({_ALL(_re(X.PARAGRAPH_REFERENCE), 0)}))) AS ordinal FROM searched WHERE article > 0 AND NOT {_has(X.ARTICLE_NEAR, "text")}),
+        refs AS MATERIALIZED (
+          SELECT doc_id, section_idx, seq, part, owner_seq, owner_sub, source_id, ordinal, 'external' AS ref_type, target_law, {_INT("s2")} AS target_jo, {_INT("s3")} AS target_jo_branch, {_INT("s4")} AS target_hang, {_INT("s5")} AS target_ho, CAST(NULL AS VARCHAR) AS target_mok, raw_text FROM external
+          UNION ALL SELECT doc_id, section_idx, seq, part, owner_seq, owner_sub, source_id, ordinal, 'internal', NULL, {_INT("s1")}, {_INT("s2")}, {_INT("s4")}, {_INT("s5")}, nullif(s6, ''), s0 FROM internal
+          UNION ALL SELECT doc_id, section_idx, seq, part, owner_seq, owner_sub, source_id, ordinal, 'internal', NULL, article, NULL, {_INT("s4")}, NULL, NULL, raw_text FROM alone),
+        found AS MATERIALIZED (SELECT r.*, CASE WHEN x.id IS NOT NULL THEN x.id || coalesce('.' || CASE WHEN target_hang <= 20 THEN substr('{X.CIRCLED}', target_hang, 1) ELSE '제' || target_hang || '항' END, '') || coalesce('.' || target_ho || '.', '') || coalesce('.' || target_mok || '.', '') END AS resolved_id
+          FROM refs AS r LEFT JOIN (SELECT doc_id, section_name, number, coalesce(branch, -1) AS br, arg_max(id, preorder) AS id FROM made_nodes WHERE type = '조' GROUP BY 1, 2, 3, 4) AS x
+            ON r.ref_type = 'internal' AND x.doc_id = r.doc_id AND x.section_name = split_part(r.source_id, '.', 1) AND x.number = r.target_jo AND x.br = coalesce(r.target_jo_branch, -1))"""
+
+
+ORACLE["resolve_refs"] = f"{_references()} SELECT doc_id, section_idx, seq, part, source_id, CAST(ordinal AS INT) AS ordinal, ref_type, target_law, target_jo, target_jo_branch, target_hang, target_ho, target_mok, raw_text, resolved_id FROM found"
+ORACLE["reference_statistics"] = f"{_references()} SELECT ref_type, count(*) AS n, count(resolved_id) AS resolved FROM found GROUP BY 1"
+_EDGES = """SELECT c.doc_id, c.section_idx, p.id AS source, c.id AS target, 'HAS_CHILD' AS type, NULL AS raw_text, CAST(NULL AS INT) AS target_jo, CAST(NULL AS INT) AS target_hang, NULL AS law, CAST(NULL AS INT) AS article FROM made_nodes AS c JOIN made_nodes AS p ON p.doc_id = c.doc_id AND p.section_idx = c.section_idx AND p.seq = c.parent_seq AND p.sub = c.parent_sub
+    UNION ALL SELECT doc_id, section_idx, source_id, resolved_id, 'REFERENCES', raw_text, target_jo, target_hang, NULL, NULL FROM found WHERE resolved_id IS NOT NULL
+    UNION ALL SELECT doc_id, section_idx, source_id, 'law_' || target_law || '_' || target_jo, 'CITES_LAW', raw_text, NULL, NULL, target_law, target_jo FROM found WHERE ref_type = 'external'"""
+ORACLE["graph_edges"] = f"{_references()} {_EDGES}"
+_FILE = "lpad(CAST(s.section_idx AS VARCHAR), 2, '0') || '_' || left(regexp_replace(regexp_replace(s.title, '[\\\\/*?:\"<>|]', '', 'g'), '\\s+', '_', 'g'), 50)"
+ORACLE["section_stats"] = f"""{_references()}, edges AS ({_EDGES}) SELECT s.doc_id, s.section_idx, s.id, s.title AS name, {_TYPE.replace("section_name", "s.title")} AS type,
+    (SELECT count(*) FROM made_nodes AS n WHERE n.doc_id = s.doc_id AND n.section_idx = s.section_idx) AS node_count, (SELECT count(*) FROM edges AS e WHERE e.doc_id = s.doc_id AND e.section_idx = s.section_idx) AS edge_count,
+    (SELECT count(*) FROM made_nodes AS n WHERE n.doc_id = s.doc_id AND n.section_idx = s.section_idx AND (n.type = '조' OR n.type = 'special' AND (contains(n.marker, '법규') OR contains(n.marker, '설명')))) AS embedding_count,
+    'sections/' || {_FILE} || '.json' AS file, 'embeddings/' || {_FILE} || '_embeddings.json' AS embedding_file FROM made_nodes AS s WHERE s.type = 'section'"""
+_COUNTED = "coalesce((SELECT ' (refs:' || count(*) || ')' FROM found AS r WHERE r.doc_id = n.doc_id AND r.section_idx = n.section_idx AND r.owner_seq = n.seq AND r.owner_sub = n.sub HAVING count(*) > 0), '')"
+ORACLE["tree_lines"] = f"{_references()} SELECT doc_id, preorder, repeat('│   ', depth) || '├── [' || CASE WHEN marker <> '' THEN marker ELSE type END || '] ' || CASE WHEN length(title) > 35 THEN left(title, 35) || '...' ELSE title END || {_COUNTED} AS line FROM made_nodes AS n WHERE depth <= 4"
 _LABEL = "CASE type " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in X.LABELS.items()) + " END"
 ORACLE["nodes_by_label"] = f"{_folded()} SELECT s.id AS section_id, {_LABEL.replace('CASE type', 'CASE n.type')} AS label, count(*) AS n FROM made_nodes AS n JOIN made_nodes AS s ON n.doc_id = s.doc_id AND n.section_idx = s.section_idx AND s.type = 'section' GROUP BY 1, 2"
 ORACLE["node_statistics"] = f"{_folded()} SELECT CASE WHEN sub = 1 THEN '항(자동)' ELSE type END AS kind, count(*) AS n FROM made_nodes WHERE type <> 'section' GROUP BY 1"

@@ -100,7 +100,7 @@ def nodes_by_label(spark: SparkSession, d: str) -> DataFrame:
 @query
 def node_text(spark: SparkSession, d: str) -> DataFrame:
     nodes = hierarchy.build_nodes(hierarchy.parse_blocks(_terms(spark, d)))
-    return nodes.select("doc_id", "preorder", "depth", "id", "content", F.to_json("metadata").alias("metadata"))
+    return nodes.select("doc_id", "preorder", "depth", "id", "content")
 
 
 @query
@@ -111,7 +111,7 @@ def node_statistics(spark: SparkSession, d: str) -> DataFrame:
 @query
 def resolve_refs(spark: SparkSession, d: str) -> DataFrame:
     _, refs = _tree(spark, d)
-    return refs.drop("owner_uid")
+    return refs.drop("owner_uid").withColumn("seq", F.col("seq").cast("long"))
 
 
 @query
