@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import decontam, language_model, lines, neardup, packing, quality_rules, repeats, secret_scan, sharding, urls
+from .oracle import ORACLE_SQL  # noqa: F401
 
 URL_RULES = [("com/en/", "block"), ("example.com/en/7", "allow"), ("net/de/", "allow"), ("example.net/de/8", "block"), ("org/es/", "block")]
 
@@ -68,4 +69,3 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_decontam, op2_pack, op3_perplexity, op4_urls, op5_lines, op6_secrets, op7_neardup, op8_shards, op9_repeats, op10_quality)}
-ORACLE_SQL: dict[str, str] = {}
