@@ -16,6 +16,9 @@ from pyspark.sql import types as T
 #: Hashed features, n-gram lengths, and the most rows that a labelled table may have.
 BUCKETS, GRAMS, MAX_LABELLED, MAX_RULES = 1 << 16, (3, 4, 5), 100_000, 1_000
 
+#: Parts of a url with the weight of each.
+PARTS = {"h": 1.0, "p": 0.2}
+
 #: Words of the built-in labelled table, in hosts that are to be blocked and others.
 BLOCK_WORDS = "ads adult bets bonus casino cheap click escort farm free gamble jackpot loans lottery pills poker porn replica slots spam track viagra warez win xxx".split()
 ALLOW_WORDS = "archive atlas bakery bridge city college forest garden gazette harbour health history journal kitchen library market museum music news orchard paper physics river school science stone theatre travel weather".split()
@@ -23,18 +26,20 @@ ALLOW_WORDS = "archive atlas bakery bridge city college forest garden gazette ha
 
 def labelled_urls() -> list[tuple[str, int]]:
     """A small labelled table made by rule: (url, 1 to block or 0)."""
-    ends, paths = ("example.com", "example.net", "example.org"), ("en/12", "de/305/", "fr/77.html", "es/940?page=2", "news/2024/item", "")
+    ends = ("example.com", "example.net", "example.org")
+    kinds = ("{}/{}", "{}/{}/", "{}/{}.html", "{}/{}?page=2", "news/{}/{}/item")
+    paths = [kinds[k % 5].format(("en", "de", "fr", "es")[k % 4], 7 * k * k % 60_000 + k) for k in range(2, 400)]
     out = []
     for label, words in ((1, BLOCK_WORDS), (0, ALLOW_WORDS)):
         for i, a in enumerate(words):
             for j in (1, 4, 9):
                 b = words[(i + j) % len(words)]
                 host = (f"{a}-{b}", f"{a}{b}", f"www.{b}-{a}")[(i + j) % 3]
-                out.append((f"https://{host}.{ends[(i + j) % 3]}/{paths[(i * 2 + j) % 6]}", label))
+                out += [(f"https://{sub}{host}.{end}/{paths[(i * 31 + j * 7 + k) % 398]}", label) for k, (sub, end) in enumerate(zip(("", "blog.", "m."), ends, strict=True))]
     vowels, syllables = "aeiou", [c + v for c in "bdlmnrst" for v in "aeo"]
     for i in range(72):
         name = "".join(syllables[(i * k + k) % len(syllables)] for k in (1, 5, 7)[: 2 + i % 2]) + "nrst"[i % 4] + ("h" * (i % 3 == 0)) + vowels[i % 5]
-        out.append((f"https://{('', 'blog.', 'm.', 'www.')[i % 4]}{name}.{ends[i % 3]}/{paths[i % 6]}", 0))
+        out += [(f"https://{sub}{name}.{ends[(i + k) % 3]}/{paths[(i * 13 + k) % 398]}", 0) for k, sub in enumerate(("", "blog.", "m.", "www."))]
     return out
 
 
@@ -49,14 +54,18 @@ def host_and_path(url: str | None) -> tuple[str, str]:
     return "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in rest[:cut]), path[:stop]
 
 
-def features(host: str, path: str) -> np.ndarray:
-    """Distinct hashed character n-grams of host and path, told apart by a mark."""
-    found = set()
-    for mark, s in (("h", f"^{host}$"), ("p", f"{path}$")):
-        for n in GRAMS:
-            for i in range(len(s) - n + 1):
-                found.add(zlib.crc32(f"{mark}{s[i : i + n]}".encode()) % BUCKETS)
-    return np.fromiter(found, np.int64, len(found))
+def features(host: str, path: str) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct hashed character n-grams of host and path, told apart by a mark, and their values.
+
+    A part's values have the length PARTS, however long it is; the path, most
+    of which is numbers, weighs less.
+    """
+    at, value = [], []
+    for (mark, weight), s in zip(PARTS.items(), (f"^{host}$", f"{path}$"), strict=True):
+        found = {zlib.crc32(f"{mark}{s[i : i + n]}".encode()) % BUCKETS for n in GRAMS for i in range(len(s) - n + 1)}
+        at += found
+        value += [weight / max(1, len(found)) ** 0.5] * len(found)
+    return np.array(at, np.int64), np.array(value)
 
 
 @dataclass
@@ -68,11 +77,11 @@ class UrlModel:
     threshold: float = 0.5
 
     def score(self, host: str, path: str) -> float:
-        at = features(host, path)
-        return float(1 / (1 + np.exp(-(self.bias + self.weights[at].sum() / max(1.0, len(at)) ** 0.5))))
+        at, value = features(host, path)
+        return float(1 / (1 + np.exp(-(self.bias + self.weights[at] @ value))))
 
 
-def train_url_model(labelled: Iterable[tuple[str, int]] | DataFrame | None = None, l2: float = 1e-3, steps: int = 400, rate: float = 1.0) -> UrlModel:
+def train_url_model(labelled: Iterable[tuple[str, int]] | DataFrame | None = None, l2: float = 1e-5, steps: int = 1500, rate: float = 1.0) -> UrlModel:
     """Fits on a small labelled table of (url, label), at most MAX_LABELLED rows; built-in if None."""
     if isinstance(labelled, DataFrame):
         labelled = [tuple(r) for r in labelled.limit(MAX_LABELLED + 1).collect()]
@@ -81,9 +90,8 @@ def train_url_model(labelled: Iterable[tuple[str, int]] | DataFrame | None = Non
         raise ValueError(f"a labelled table has 1 to {MAX_LABELLED} rows")
     at = [features(*host_and_path(u)) for u, _ in rows]
     y = np.array([float(v) for _, v in rows])
-    row = np.repeat(np.arange(len(at)), [len(a) for a in at])
-    col = np.concatenate(at)
-    value = np.repeat([1 / max(1.0, len(a)) ** 0.5 for a in at], [len(a) for a in at])
+    row = np.repeat(np.arange(len(at)), [len(a) for a, _ in at])
+    col, value = (np.concatenate(x) for x in zip(*at, strict=True))
     each = np.where(y > 0, 0.5 / max(1, y.sum()), 0.5 / max(1, (1 - y).sum()))
     w, b = np.zeros(BUCKETS), 0.0
     sum_w, sum_b = np.full(BUCKETS, 1e-8), 1e-8
