@@ -6,7 +6,7 @@ import pytest
 
 from folia.operators import vlm
 from folia.plans.pipeline import DocumentPipeline, numbered
-from folia.sources import layout
+from folia.sources import layout, sinks
 from folia.sources.config import PipelineError
 from folia.streaming import ingest
 from tests.golden import NODES, TEXTS
@@ -34,6 +34,17 @@ def test_whole_run(spark, folder, tmp_path):
     meta = run.read("document_meta").first()
     assert meta.total_sections == 2 and meta.id == "doc_문서" and meta.sections[0].node_count == 12
     assert run.read("html").count() == 2
+    files = sinks.section_files(run.read("graph_nodes"), run.read("graph_edges"), run.read("sections_meta"))
+    first = json.loads(files.where("section_idx = 1").first().json)
+    assert len(first["nodes"]) == 12 and len(first["edges"]) == 16 and first["section"]["type"] == "base" and "properties" in first["edges"][0]
+    lists = sinks.embedding_files(run.read("embedding_inputs"), run.read("sections_meta")).orderBy("section_idx").collect()
+    assert [len(json.loads(r.json)) for r in lists] == [3, 1]
+    sinks.write_sections(files, str(tmp_path / "sections"))
+    assert spark.read.text(str(tmp_path / "sections")).count() == 2
+    assert sinks.write_html(run.read("html"), str(tmp_path / "html")) == 2
+    places = sinks.write_trees(run.read("trees"), run.read("refs"), str(tmp_path / "tree_out"))
+    assert spark.read.json(places[1]).count() == 7 and spark.read.text(places[0]).count() == 1
+    assert '"branch":null' in sinks.as_json(run.read("nodes"), ["doc_id"]).first().json
     tree = json.loads(run.read("trees").first().tree)
     (tmp_path / "trees").mkdir()
     (tmp_path / "trees" / "doc.json").write_text(json.dumps(tree, ensure_ascii=False), encoding="utf-8")
