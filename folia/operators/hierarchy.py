@@ -141,6 +141,7 @@ def parse_blocks(blocks: DataFrame) -> DataFrame:
     df = split_sections(blocks).where("content <> ''")
     order = Window.partitionBy(*SECTION).orderBy("seq")
     before = order.rowsBetween(Window.unboundedPreceding, -1)
+    df = df.withColumn("first_block", F.row_number().over(order) == 1)
     df = _stack(_auto_paragraphs(_resets(_kinds(df, before), before), before), before)
     level = F.col("level")
     was = F.filter(F.array(*(F.col(f"was{k}") for k in range(DEEPEST, 0, -1))), lambda x: x.isNotNull())
@@ -182,6 +183,7 @@ def parse_blocks(blocks: DataFrame) -> DataFrame:
         F.when(level == ARTICLE, F.col("number")).otherwise(F.col("article_no")).alias("own_article"),
         "article_no",
         F.col("root.path").alias("root_path"),
+        "first_block",
     )
 
 
@@ -194,19 +196,29 @@ def build_nodes(parsed: DataFrame) -> DataFrame:
 
     ``preorder`` counts a document's nodes from 0 in depth-first order.
     """
-    null = F.lit(None)
+    kind = parsed.schema["seq"].dataType
     body_cut = F.when((F.col("type") == "조") & (F.col("rule") == "m") & (F.col("body") != ""), strip(F.replace("content", "body", F.lit("")))).otherwise(F.col("content"))
-    keep = [*SECTION, "section_name", "page"]
-    main = parsed.where("node is not null").select(*keep, F.col("node.id").alias("id"), "node.seq", "node.sub", "node.path", F.col("parent.seq").alias("pseq"), F.col("parent.sub").alias("psub"), "type", "level", "number", "branch", "marker", "title", body_cut.alias("text"), "special_type", (F.col("kind") == "global").alias("is_global"), (F.col("kind") == "inline").alias("is_inline"), F.lit(False).alias("is_auto"))
     own = F.when(F.col("level") == ARTICLE, F.col("body")).when(F.col("kind") == "text", F.col("content")).otherwise("")
-    auto = parsed.where("auto").select(*keep, F.col("auto_node.id").alias("id"), "auto_node.seq", "auto_node.sub", "auto_node.path", F.col("auto_parent.seq").alias("pseq"), F.col("auto_parent.sub").alias("psub"), F.lit("항").alias("type"), F.lit(PARAGRAPH).alias("level"), F.lit(1).alias("number"), null.cast("int").alias("branch"), F.lit("①").alias("marker"), F.when(own == "", X.AUTO_TITLE).otherwise(F.substring(own, 1, 30)).alias("title"), own.alias("text"), null.cast("string").alias("special_type"), F.lit(False).alias("is_global"), F.lit(False).alias("is_inline"), F.lit(True).alias("is_auto"))
-    roots = parsed.groupBy(*SECTION).agg(F.first("section_name").alias("section_name"), F.first("root_path").alias("path"))
-    roots = roots.select(*SECTION, "section_name", F.lit(0).alias("page"), F.col("section_name").alias("id"), F.lit(-1).alias("seq"), F.lit(0).alias("sub"), "path", null.cast("int").alias("pseq"), null.cast("int").alias("psub"), F.lit("section").alias("type"), F.lit(0).alias("level"), null.cast("int").alias("number"), null.cast("int").alias("branch"), F.lit("").alias("marker"), F.col("section_name").alias("title"), F.lit("").alias("text"), null.cast("string").alias("special_type"), F.lit(False).alias("is_global"), F.lit(False).alias("is_inline"), F.lit(False).alias("is_auto"))
+
+    def entry(at: Column, parent: Column | None, **fields: Column) -> Column:
+        """A node as a struct; what is not given is null."""
+        seq, sub = (parent["seq"], parent["sub"]) if parent is not None else (F.lit(None), F.lit(None))
+        given = {"pseq": seq, "psub": sub, **fields}
+        types = {"page": "int", "pseq": kind, "psub": "int", "type": "string", "level": "int", "number": "int", "branch": "int", "marker": "string", "title": "string", "text": "string", "special_type": "string", "made": "string"}
+        return F.struct(at["id"].alias("id"), at["seq"].cast(kind).alias("seq"), at["sub"].cast("int").alias("sub"), at["path"].alias("path"), *(given.get(k, F.lit(None)).cast(t).alias(k) for k, t in types.items()))
+
+    same = lambda *names: {n: F.col(n) for n in names}
+    main = entry(F.col("node"), F.col("parent"), text=body_cut, made=F.col("kind"), **same("page", "type", "level", "number", "branch", "marker", "title", "special_type"))
+    auto = entry(F.col("auto_node"), F.col("auto_parent"), text=own, made=F.lit("auto"), page=F.col("page"), type=F.lit("항"), level=F.lit(PARAGRAPH), number=F.lit(1), marker=F.lit("①"), title=F.when(own == "", X.AUTO_TITLE).otherwise(F.substring(own, 1, 30)))
+    section = F.struct(F.col("section_name").alias("id"), F.lit(-1).alias("seq"), F.lit(0).alias("sub"), F.col("root_path").alias("path"))
+    root = entry(section, None, text=F.lit(""), made=F.lit("section"), page=F.lit(0), type=F.lit("section"), level=F.lit(0), marker=F.lit(""), title=F.col("section_name"))
+    # a block makes two nodes at most, and a section's first block the section as well: one pass for all
+    made = F.array(F.when(F.col("first_block"), root), F.when(F.col("node").isNotNull(), main), F.when(F.col("auto"), auto))
+    every = parsed.select(*SECTION, "section_name", F.explode(F.filter(made, lambda e: e.isNotNull())).alias("e")).select(*SECTION, "section_name", "e.*")
     more = parsed.where("owner_seq is not null").withColumnRenamed("seq", "at").groupBy(*SECTION, F.col("owner_seq").alias("seq"), F.col("owner_sub").alias("sub")).agg(F.sort_array(F.collect_list(F.struct(F.col("at"), F.col("content").alias("text")))).alias("more"))
-    every = main.unionByName(auto).unionByName(roots)
     met = every.join(more, [*SECTION, "seq", "sub"], "left")
     text = F.when(F.col("more").isNull(), F.col("text")).otherwise(F.concat(F.col("text"), F.lit("\n"), F.array_join("more.text", "\n")))
-    flag = lambda c: F.when(F.col(c), True)
+    flag = lambda kind: F.when(F.col("made") == kind, True)
     order = Window.partitionBy("doc_id").orderBy("path")
     return met.select(
         _uid(F.col("seq"), F.col("sub")).alias("node_uid"),
@@ -227,7 +239,7 @@ def build_nodes(parsed: DataFrame) -> DataFrame:
         "title",
         text.alias("content"),
         "page",
-        F.struct(F.col("special_type"), flag("is_global").alias("global"), flag("is_inline").alias("inline"), flag("is_auto").alias("auto_generated")).alias("metadata"),
+        F.struct(F.col("special_type"), flag("global").alias("global"), flag("inline").alias("inline"), flag("auto").alias("auto_generated")).alias("metadata"),
     )
 
 
