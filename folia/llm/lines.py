@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import salted_join
+from .common import Stored, salted_join
 
 _ENDS = "^[\\x20\\x09-\\x0D]+|[\\x20\\x09-\\x0D]+$"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -41,6 +41,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     base = base.withColumn("stamp", F.xxhash64("text"))
     lines = base.select("id", "stamp", F.posexplode(F.split("text", "\n", -1)).alias("pos", "line")).select("id", "stamp", "pos", line_key(F.col("line")).alias("key"))
     lines = lines.where(F.char_length("key") >= min_chars).select("id", "stamp", "pos", F.xxhash64("key").alias("h1"), F.xxhash64(F.lit(1), "key").alias("h2"))
+    lines = Stored(lines).df  # used twice, and far smaller than the texts it takes to make it
     hot = lines.groupBy("h1", "h2").agg(F.count_distinct("id").alias("n"), F.max("id").alias("keeper")).where(F.col("n") >= min_docs).select("h1", "h2", "keeper")
     gone = salted_join(lines, hot, ["h1", "h2"], F.struct("id", "pos")).where(~F.col("id").eqNullSafe(F.col("keeper")))
     gone = gone.groupBy(F.col("id").alias("gone_id"), F.col("stamp").alias("gone_stamp")).agg(F.collect_set("pos").alias("gone"))
