@@ -191,7 +191,7 @@ def _references() -> str:
     """``found``: references in texts, with what they resolve to."""
     part = lambda n: _BY_LAWS(lambda names: _ALL(_CITED(names), n))
     inner = _re(X.ARTICLE_REFERENCE)
-    return f"""{_folded()}, searched AS MATERIALIZED (SELECT t.*, {_BY_LAWS(lambda names: f"regexp_replace(text, {_CITED(names)}, ' ', 'g')")} AS rest, {", ".join(f"{part(n)} AS e{n}" for n in range(6))} FROM (
+    return f"""{_folded()}, searched AS MATERIALIZED (SELECT t.*, {_BY_LAWS(lambda names: f"regexp_replace(text, {_CITED(names)}, '※', 'g')")} AS rest, {", ".join(f"{part(n)} AS e{n}" for n in range(6))} FROM (
           SELECT t.*, coalesce(l.a, FALSE) AS a, coalesce(l.b, FALSE) AS b FROM (
             SELECT doc_id, section_idx, seq, 0 AS part, seq AS owner_seq, 0 AS owner_sub, main.id AS source_id, content AS text, jo_before AS article FROM texts WHERE kind = 'H'
             UNION ALL SELECT doc_id, section_idx, seq, 1, seq, 1, made.id, CASE WHEN lv = 5 THEN text_body ELSE content END, CASE WHEN lv = 5 THEN num ELSE jo_before END FROM texts WHERE auto AND (lv = 5 OR kind = 'T')
