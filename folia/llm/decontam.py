@@ -24,7 +24,7 @@ REPEATS, SAMPLES, STARTS = 20, 4, 6
 #: Items with fewer words are too common to tell and match nothing.
 MIN_WORDS = 5
 #: Bytes of items that one pass over the documents looks for.
-PASS_BYTES = 16 << 20
+PASS_BYTES = 4 << 20
 _GRAM = np.uint64(0xD6E8FEB86659FD93)
 
 
@@ -61,13 +61,37 @@ def _walk(h: np.ndarray, at: np.ndarray, stop: np.ndarray, size: int, rep: int,
         if j == picks[level]:
             key = mix(key * _GRAM + w)
             if known is not None:
-                ok = known[level][key >> np.uint64(46)]
+                table = known[level]
+                ok = table[key >> np.uint64(65 - len(table).bit_length())]
                 who, i, key, stop, w = who[ok], i[ok], key[ok], stop[ok], w[ok]
             level += 1
         i = i + (w * factors[j] >> np.uint64(63)).astype(np.int64)
     return who, key
 
 
+def _table(keys: np.ndarray, bits: int) -> np.ndarray:
+    """Which leading ``bits`` occur among keys."""
+    table = np.zeros(1 << bits, bool)
+    table[keys >> np.uint64(64 - bits)] = True
+    return table
+
+
+class Items:
+    """Items as they travel to the tasks; a worker makes the index of them once."""
+
+    def __init__(self, items: list[tuple[object, str]], max_edits: float):
+        self.items, self.max_edits, self._index = items, max_edits, None
+
+    def __getstate__(self) -> dict:
+        return {"items": self.items, "max_edits": self.max_edits, "_index": None}
+
+    @property
+    def index(self) -> ItemIndex:
+        if self._index is None:
+            self._index = ItemIndex(self.items, self.max_edits)
+        return self._index
+
+
 class ItemIndex:
     """LSH tables of a bounded set of items."""
 
@@ -96,16 +120,14 @@ class ItemIndex:
         for size, wins in self.windows.items():
             at = np.array([base[k] + a for k, a in wins])
             stop = np.array([base[k + 1] for k, _ in wins])
-            table = np.zeros(1 << 18, bool)
-            table[flat[at] >> np.uint64(46)] = True
-            self.first_words[size] = table
+            self.first_words[size] = _table(flat[at], 18)
+            # some sixteen places a key: what passes by chance ends at the next level or at the last look-up
+            bits = max(12, (16 * len(wins)).bit_length())
             for rep in range(REPEATS):
                 picks, _ = _plan(size, rep)
                 levels = []
                 for n in range(len(picks)):
-                    known = np.zeros(1 << 18, bool)
-                    known[self._prefix(flat, at, stop, size, rep, n + 1) >> np.uint64(46)] = True
-                    levels.append(known)
+                    levels.append(_table(self._prefix(flat, at, stop, size, rep, n + 1), bits))
                 found: dict[int, list[int]] = defaultdict(list)
                 for x, key in enumerate(self._prefix(flat, at, stop, size, rep, len(picks)).tolist()):
                     found[key].append(x)
@@ -207,14 +229,14 @@ def nearest(item: str, text: str) -> tuple[int, int]:
     return best, end
 
 
-def _indexes(benchmark: DataFrame, item_col: str, item_text: str, max_edits: float) -> Iterator[ItemIndex]:
-    """Indexes of all items; more than PASS_BYTES of text are dealt over several, each for a pass of its own."""
+def _passes(benchmark: DataFrame, item_col: str, item_text: str, max_edits: float) -> Iterator[Items]:
+    """All items; more than PASS_BYTES of text are dealt over several, each for a pass of its own."""
     few = benchmark.select(F.col(item_col).alias("item"), F.coalesce(item_text, F.lit("")).alias("text"))
     total = few.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     passes = max(1, math.ceil(total / PASS_BYTES))
     for k in range(passes):
         part = few.where(F.pmod(F.xxhash64("item", "text"), F.lit(passes)) == k)
-        yield ItemIndex([(r["item"], r["text"]) for r in part.collect()], max_edits)
+        yield Items([(r["item"], r["text"]) for r in part.collect()], max_edits)
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text", max_edits: float = MAX_EDITS) -> DataFrame:
@@ -229,18 +251,18 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     ones among them, match nothing.  Null ids and repeated rows give rows of
     their own; if either table is empty, so is the result.
 
-    Documents are not shuffled; the index of the items, bounded by PASS_BYTES a
-    pass, travels to the tasks.
+    Documents are not shuffled; the items, bounded by PASS_BYTES a pass, travel
+    to the tasks.
     """
     out = None
     kinds = docs.schema[id_col].dataType.simpleString(), benchmark.schema[item_col].dataType.simpleString()
     schema = f"doc_id {kinds[0]}, item_id {kinds[1]}, edits int, item_chars int, start int, end int"
     item_type = pa.schema(benchmark.select(item_col).limit(0).toArrow().schema).field(0).type
-    for index in _indexes(benchmark, item_col, item_text, max_edits):
-        sent = docs.sparkSession.sparkContext.broadcast(index)
+    for items in _passes(benchmark, item_col, item_text, max_edits):
+        sent = docs.sparkSession.sparkContext.broadcast(items)
 
         def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
-            index = sent.value
+            index = sent.value.index
             for batch in batches:
                 for lo, hi in slices(batch.column(1)):
                     if found := index.matches(batch.column(1).slice(lo, hi - lo)):
@@ -256,14 +278,14 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text: str = "text", max_edits: float = MAX_EDITS) -> DataFrame:
     """The rows of ``docs`` whose text holds no item of ``benchmark``, with their columns."""
     at, schema = docs.columns.index(text_col), T.StructType(list(docs.schema.fields))
-    for index in _indexes(benchmark, item_col, item_text, max_edits):
-        sent = docs.sparkSession.sparkContext.broadcast(index)
+    for items in _passes(benchmark, item_col, item_text, max_edits):
+        sent = docs.sparkSession.sparkContext.broadcast(items)
 
         def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 for lo, hi in slices(batch.column(at)):
                     clean = np.ones(hi - lo, bool)
-                    clean[[m[0] for m in sent.value.matches(batch.column(at).slice(lo, hi - lo))]] = False
+                    clean[[m[0] for m in sent.value.index.matches(batch.column(at).slice(lo, hi - lo))]] = False
                     yield batch.slice(lo, hi - lo).filter(pa.array(clean))
 
         docs = docs.mapInArrow(run, schema)
