@@ -39,7 +39,7 @@ RELATIONS = {
         CAST(l_suppkey % 9 * 40 AS DOUBLE) AS y,
         CAST(l_partkey % 200 AS DOUBLE) AS x0, CAST(l_suppkey % 9 * 40 AS DOUBLE) AS y0, CAST(l_partkey % 200 + 30 + l_linenumber * 7 AS DOUBLE) AS x1, CAST(l_suppkey % 9 * 40 + 12 + l_linenumber AS DOUBLE) AS y1,
         CASE (l_partkey + l_suppkey) % 7 WHEN 0 THEN 'text' WHEN 1 THEN 'table' WHEN 2 THEN 'doc_title' WHEN 3 THEN 'number' WHEN 4 THEN 'chart' WHEN 5 THEN 'footer' ELSE 'paragraph_title' END AS block_label,
-        CASE WHEN l_partkey % 5 = 0 THEN '' WHEN l_partkey % 5 = 1 THEN 'a < b & "c" > d' WHEN l_partkey % 5 = 2 THEN 'xy' ELSE concat('글 ', CAST(l_partkey AS VARCHAR(9))) END AS block_content
+        CASE WHEN l_partkey % 5 = 0 THEN '' WHEN l_partkey % 5 = 1 THEN 'a < b & "c" > d' WHEN l_partkey % 5 = 2 THEN 'x\ue001y' ELSE concat('글 ', CAST(l_partkey AS VARCHAR(9))) END AS block_content
         FROM (SELECT l_orderkey, l_linenumber, min(l_partkey) AS l_partkey, min(l_suppkey) AS l_suppkey FROM lineitem GROUP BY l_orderkey, l_linenumber) AS l""",
     "shape_boxes": """SELECT l_orderkey AS doc_id, 0 AS page_index, l_linenumber AS id,
         CAST(l_partkey % 200 - l_linenumber * 3 + 6 AS DOUBLE) AS x0, CAST(l_suppkey % 9 * 40 - 3 AS DOUBLE) AS y0, CAST(l_partkey % 200 + 75 + l_linenumber * 9 AS DOUBLE) AS x1, CAST(l_suppkey % 9 * 40 + 25 + l_linenumber * 2 AS DOUBLE) AS y1

@@ -78,7 +78,7 @@ def test_boxes_from_segments(spark):
 
 
 def test_formula_and_filenames(spark):
-    df = spark.createDataFrame([("text", "xy"), ("table", "x"), ("text", "x")], "block_label string, block_content string")
+    df = spark.createDataFrame([("text", "x\ue001y"), ("table", "\ue001x"), ("text", "x")], "block_label string, block_content string")
     assert [r.block_label for r in B.relabel_formulas(df).collect()] == ["formula", "table", "text"]
     r = one(spark, X.safe_filename(F.lit("A/B: 약관  C")).alias("f"), X.punctuation(F.lit("제1조 (목적) 이 , 계약 .")).alias("p"))
     assert (r.f, r.p) == ("AB_약관_C", "제1조(목적)이, 계약.")
@@ -121,7 +121,7 @@ def glyph(c, x, y=0.0, w=5.0, span=0):
 
 def test_glyph_assembly():
     line = [glyph("가", 0), glyph("나", 5.1), glyph("나", 5.6), glyph("다", 15.0), glyph("x", 21), glyph("(", 40), glyph("밑", 0, 30)]
-    assert glyphs.assemble(line) == "가나 다x(밑"
+    assert glyphs.assemble(line) == "가나 다x( 밑"
     assert glyphs.assemble([glyph("a", 0, span=0), glyph("b", 7.5, span=1)]) == "a b"
     assert glyphs.assemble([]) == ""
 
