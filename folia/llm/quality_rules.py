@@ -16,10 +16,13 @@ from .kernels import Words, slices
 
 WINDOW = 8
 STATS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
-#: Groups with fewer documents are judged together with the small groups of their language.
+#: Groups with fewer documents are judged together with the small groups of their
+#: language, then with their whole language, then with all documents.
 MIN_GROUP = 200
 #: Fewest groups for which their estimates are no longer broadcast (5 means and 15 covariances each).
 MAX_BROADCAST_GROUPS = 20_000
+#: Name of the group of all documents, which no language or pair has.
+_ALL = "*"
 _SYMBOLS = np.zeros(256, bool)
 _SYMBOLS[list(b"#*$%&|<>")] = True
 
@@ -143,9 +146,10 @@ def _distance(d: int) -> Column:
 
 @dataclass
 class Fit:
-    """Estimates of each group: ``large`` pairs have their own, the others share their language's."""
+    """Estimates of each group: ``large`` pairs have their own, the others share those of ``langs``, their language's or all documents'."""
 
     large: DataFrame
+    langs: DataFrame
     estimates: DataFrame
     n_groups: int
     lang: Column
@@ -155,15 +159,16 @@ class Fit:
         return a.join(F.broadcast(b), on, "left") if self.n_groups <= MAX_BROADCAST_GROUPS else salted_join(a, b, [on], F.col("__stats"), "left")
 
     def grouped(self, stats: DataFrame) -> DataFrame:
-        rows = self.meet(stats.withColumn("__pair", self.pair), self.large, "__pair")
-        rows = rows.withColumn("__grp", F.when(F.col("__large"), F.col("__pair")).otherwise(self.lang))
-        return rows.drop("__pair", "__large").withColumns({f"__x{i}": f for i, (f, _) in enumerate(_features())})
+        rows = self.meet(stats.withColumns({"__pair": self.pair, "__lang": self.lang}), self.large, "__pair")
+        rows = self.meet(rows, self.langs, "__lang")
+        rows = rows.withColumn("__grp", F.when(F.col("__large"), F.col("__pair")).otherwise(F.col("__home")))
+        return rows.drop("__pair", "__large", "__home").withColumns({f"__x{i}": f for i, (f, _) in enumerate(_features())})
 
     def judge(self, stats: DataFrame, cutoff: float) -> DataFrame:
-        """``stats`` with ``__distance`` (squared, robust; null without estimates) and ``__outlier``."""
+        """``stats`` with ``__distance`` (squared, robust) and ``__outlier``."""
         d = len(_features())
         out = self.meet(self.grouped(stats), self.estimates, "__grp").withColumn("__distance", _distance(d))
-        return out.withColumn("__outlier", F.coalesce(F.col("__distance") > cutoff, F.lit(False))).drop("mean", "cov", "__grp", *(f"__x{i}" for i in range(d)))
+        return out.withColumn("__outlier", F.coalesce(F.col("__distance") > cutoff, F.lit(False))).drop("mean", "cov", "__grp", "__lang", "__whole", *(f"__x{i}" for i in range(d)))
 
 
 def fit_groups(stats: DataFrame, lang_col: str = "lang", source_col: str = "source", h: float = 0.75, steps: int = 4, min_group: int = MIN_GROUP) -> Fit:
@@ -175,23 +180,34 @@ def fit_groups(stats: DataFrame, lang_col: str = "lang", source_col: str = "sour
     before the shuffle, so a source with most documents is no task's burden.
 
     Groups of fewer than ``min_group`` documents are joined with the others of
-    their language; if these are too few as well, the group has no estimates.
-    Null language or source is a value like others.
+    their language; if these are too few as well, their estimates are those of
+    the whole language, its large groups included, and those of all documents
+    if the language is too small.  The floors keep estimates of a few documents
+    regular, so every document has a distance.  Null language or source is a
+    value like others.
     """
     feats = _features()
     d, floors = len(feats), [f for _, f in feats]
     lang, source = (F.coalesce(F.to_json(F.struct(F.col(c).alias(n))), F.lit("")) for n, c in (("l", lang_col), ("s", source_col)))
     pair = F.concat(lang, source)
-    sizes = stats.groupBy(pair.alias("__pair")).count()
+    sizes = stats.groupBy(lang.alias("__lang"), pair.alias("__pair")).count()
     large = Stored(sizes.where(F.col("count") >= min_group).select("__pair", F.lit(True).alias("__large"))).df
-    fit = Fit(large, large, large.count(), lang, pair)
-    rows = fit.grouped(stats).select("__grp", "__stats", *(f"__x{i}" for i in range(d)))
-    middle = rows.groupBy("__grp").agg(F.count(F.lit(1)).alias("n"), *(F.percentile_approx(f"__x{i}", 0.5, 1000).alias(f"m{i}") for i in range(d))).where(F.col("n") >= min_group)
+    enough = lambda few: F.sum(F.when(F.col("count") < min_group, F.col("count")) if few else "count") >= min_group
+    home = F.when(F.col("rest") | F.col("all"), F.col("__lang")).otherwise(_ALL)
+    by_lang = sizes.groupBy("__lang").agg(F.coalesce(enough(True), F.lit(False)).alias("rest"), enough(False).alias("all"), (F.min("count") < min_group).alias("any"))
+    langs = Stored(by_lang.select("__lang", home.alias("__home"), (F.col("any") & F.col("all") & ~F.col("rest")).alias("__whole"))).df
+    fit = Fit(large, langs, large, max(large.count(), langs.count()), lang, pair)
+    # a row trains its own group, and the wider ones that small groups fall back to
+    trains = F.array(F.col("__grp"), F.when(F.col("__whole"), F.col("__lang")))
+    if not langs.where(F.col("__home") == _ALL).isEmpty():
+        trains = F.concat(trains, F.array(F.lit(_ALL)))
+    rows = fit.grouped(stats).withColumn("__grp", F.explode(F.array_distinct(F.array_compact(trains)))).select("__grp", "__stats", *(f"__x{i}" for i in range(d)))
+    middle = rows.groupBy("__grp").agg(*(F.percentile_approx(f"__x{i}", 0.5, 1000).alias(f"m{i}") for i in range(d)))
     start = [1 / f**2 if i == j else 0.0 for j, f in enumerate(floors) for i in range(d)]
     now = middle.select("__grp", F.array(*(F.col(f"m{i}").cast("double") for i in range(d))).alias("mean"), F.array(*map(F.lit, start)).alias("cov"))
     for _ in range(steps):
         fit.estimates = Stored(now).df
-        near = fit.meet(rows, fit.estimates, "__grp").where(F.col("mean").isNotNull()).withColumn("dist", _distance(d)).drop("mean", "cov")
+        near = fit.meet(rows, fit.estimates, "__grp").withColumn("dist", _distance(d)).drop("mean", "cov")
         edge = near.groupBy("__grp").agg(F.percentile_approx("dist", h, 1000).alias("edge"))
         now = _inverses(_estimates(fit.meet(near, edge, "__grp").where(F.col("dist") <= F.col("edge")), d), floors)
     fit.estimates = Stored(now).df
@@ -215,7 +231,8 @@ def judge_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     Base rule: fewer than 20 words, or more than 30 of 100 words in repeated
     windows.  A document is kept if it passes that and its transformed
     statistics are no outlier (squared Mahalanobis distance over ``cutoff``)
-    among those of its language and source.
+    among those of its language and source, or of the wider group that
+    :func:`fit_groups` takes for small ones.
 
     Null text has no words.  Null ids and repeated rows get a row each; an
     empty table gives an empty table.
