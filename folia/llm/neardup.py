@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -13,12 +14,21 @@ from .common import Stored
 from .components import connected_components
 from .kernels import Words, mix, slices
 
-#: Bands of so many minima: two sets at similarity 0.85 share none of them
-#: with probability 1e-5, two at 0.3 share one with probability 0.002.
-BANDS, ROWS, SHINGLE = 36, 8, 5
+#: Minima in a band and words in a shingle.
+ROWS, SHINGLE = 8, 5
+#: Two sets just at the similarity asked for share no band with this probability at most.
+MISS = 1.2e-5
 #: Most sets and shingles of a block; a task compares two blocks at most.
 BLOCK_SETS, BLOCK_SHINGLES = 256, 500_000
-_FACTORS = np.random.default_rng(7).integers(0, 2**63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+
+
+def _bands(percent: int) -> int:
+    """Bands for a similarity: 36 at 85 of 100, 62 at 80."""
+    return max(1, math.ceil(math.log(MISS) / math.log1p(-((percent / 100) ** ROWS)))) if percent < 100 else 1
+
+
+def _factors(bands: int) -> np.ndarray:
+    return np.random.default_rng(7).integers(0, 2**63, bands * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
 def _sets(w: Words) -> tuple[np.ndarray, np.ndarray]:
@@ -35,9 +45,10 @@ def _sets(w: Words) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(parts) if parts else np.zeros(0, np.uint64), sizes
 
 
-def _band_keys(shingles: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """For rows with shingles, BANDS keys each made of ROWS minima of universal hashes."""
-    keys = np.empty((len(sizes), BANDS), np.uint64)
+def _band_keys(shingles: np.ndarray, sizes: np.ndarray, factors: np.ndarray) -> np.ndarray:
+    """For rows with shingles, a key for every ROWS ``factors``, made of as many minima of universal hashes."""
+    bands = len(factors) // ROWS
+    keys = np.empty((len(sizes), bands), np.uint64)
     ends = np.cumsum(sizes)
     lo = 0
     while lo < len(sizes):
@@ -45,18 +56,20 @@ def _band_keys(shingles: np.ndarray, sizes: np.ndarray) -> np.ndarray:
         hi = max(lo + 1, int(np.searchsorted(ends, start + 32768, "right")))
         part = shingles[start : int(ends[hi - 1])]
         cuts = np.concatenate([[0], ends[lo : hi - 1] - start])
-        for band in range(BANDS):
+        for band in range(bands):
             key = np.full(hi - lo, band, np.uint64)
             for k in range(band * ROWS, band * ROWS + ROWS):
                 key *= np.uint64(0x9E3779B97F4A7C15)
-                key += np.minimum.reduceat(part * _FACTORS[k], cuts) >> np.uint64(24)
+                key += np.minimum.reduceat(part * factors[k], cuts) >> np.uint64(24)
             keys[lo:hi, band] = mix(key)
         lo = hi
     return keys
 
 
-def signatures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id``, ``n_shingles``, 128 bits of the shingle set (``s1``, ``s2``) and its band keys."""
+def signatures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 85) -> DataFrame:
+    """``doc_id``, ``n_shingles``, 128 bits of the shingle set (``s1``, ``s2``) and its band keys for ``percent`` similarity."""
+    factors = _factors(_bands(percent))
+    bands_each = len(factors) // ROWS
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -65,13 +78,13 @@ def signatures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
                 shingles, sizes = _sets(w)
                 full = np.flatnonzero(sizes)
                 s = np.zeros((2, hi - lo), np.uint64)
-                keys = np.zeros((0, BANDS), np.uint64)
+                keys = np.zeros((0, bands_each), np.uint64)
                 if len(full):
                     cuts = np.concatenate([[0], np.cumsum(sizes[full])[:-1]])
                     s[0, full] = np.add.reduceat(mix(shingles), cuts)
                     s[1, full] = np.add.reduceat(mix(shingles ^ np.uint64(0x5851F42D4C957F2D)), cuts)
-                    keys = _band_keys(shingles, sizes[full])
-                ends = np.concatenate([[0], np.cumsum(np.where(sizes > 0, BANDS, 0))]).astype(np.int32)
+                    keys = _band_keys(shingles, sizes[full], factors)
+                ends = np.concatenate([[0], np.cumsum(np.where(sizes > 0, bands_each, 0))]).astype(np.int32)
                 bands = pa.ListArray.from_arrays(pa.array(ends), pa.array(keys.ravel().view(np.int64)))
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), pa.array(sizes), pa.array(s[0].view(np.int64)), pa.array(s[1].view(np.int64)), bands], ["doc_id", "n_shingles", "s1", "s2", "bands"])
 
@@ -189,7 +202,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     (components over a star a bucket), and :func:`verified_links` finds their
     true links; components of these are the result.
     """
-    sigs = Stored(signatures(docs, id_col, text_col)).df
+    sigs = Stored(signatures(docs, id_col, text_col, percent)).df
     classes = Stored(sigs.where("n_shingles > 0 and doc_id is not null").groupBy("s1", "s2").agg(F.min("doc_id").alias("node"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands"))).df
     keys = classes.select("node", F.explode("bands").alias("key"))
     buckets = keys.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi"), F.count(F.lit(1)).alias("c")).where("lo < hi")
