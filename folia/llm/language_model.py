@@ -212,8 +212,8 @@ def classify_quality(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id"
     bound what is kept in a language.
 
     Languages with fewer than MIN_TRUSTED trusted documents, null among them,
-    share a model of all trusted text and its bounds.  Text without symbols has
-    no perplexity and is not kept.  Repeated rows get a row each; without any
+    share a model of all trusted text, and bounds from the scores of all trusted
+    documents under it.  Text without symbols has no perplexity and is not kept.  Repeated rows get a row each; without any
     trusted text nothing is judged and all else is kept; an empty table gives an
     empty table.
     """
@@ -226,12 +226,14 @@ def classify_quality(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id"
     counts = Stored(own.join(per, "lang", "left_semi").unionByName(pooled)).df
     model = Stored(kneser_ney(counts.withColumn("lang", F.coalesce("lang", F.lit(""))), order)).df
     named = base.join(per, "lang", "left").select("doc_id", "lang", "text", F.when(F.col("own"), F.col("lang")).otherwise("").alias("model_lang"), F.octet_length("text").alias("n"))
-    scored = Stored(perplexities(named, model, order).drop("text")).df
+    # every text is scored under the shared model too where it lies: joining the trusted ones to their text again would shuffle it twice
+    each = named.withColumn("own_lang", F.col("model_lang")).withColumn("model_lang", F.explode(F.array_distinct(F.array("model_lang", F.lit("")))))
+    scored = Stored(perplexities(each, model, order).drop("text")).df
     known = scored.join(trusted.select("doc_id").distinct(), "doc_id", "left_semi").where("perplexity is not null")
     middle = known.groupBy("model_lang").agg(F.percentile_approx("perplexity", 0.5, 10000).alias("median"))
     # a text of a few symbols says little: PRIOR symbols of the median are added to every text
     steadied = F.exp((F.col("n") * F.log("perplexity") + PRIOR * F.log("median")) / (F.col("n") + PRIOR))
     bounds = known.join(F.broadcast(middle), "model_lang").withColumn("score", steadied).groupBy("model_lang").agg(F.first("median").alias("median"), (F.percentile_approx("score", 1 - quantile, 10000) / slack).alias("low"), (F.percentile_approx("score", quantile, 10000) * slack).alias("high"))
-    out = scored.join(F.broadcast(bounds), "model_lang", "left").withColumn("score", steadied)
+    out = scored.where("model_lang = own_lang").join(F.broadcast(bounds), "model_lang", "left").withColumn("score", steadied)
     kept = (F.col("n") > 0) & F.coalesce(F.col("score").between(F.col("low"), F.col("high")), F.lit(True))
     return out.select("doc_id", "lang", "perplexity", "score", "low", "high", kept.alias("kept"))
