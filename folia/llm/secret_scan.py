@@ -18,15 +18,21 @@ BASE = [
 CANDIDATE, WINDOW = r"[A-Za-z0-9+/_=-]{20,}", 20
 #: Character classes with the entropy, in bits a character, that a full window of a secret reaches.
 CLASSES = [("entropy_hex", r"^[0-9a-fA-F-]+$", 3.0), ("entropy_base64", r"^[A-Za-z0-9+/_=-]+$", 3.6)]
+#: A word as people write it: lower case, capitals or capitalised parts.
+_WORD = r"_*(?:[A-Z]{0,6}[a-z]+(?:[A-Z][a-z]{2,})*|[A-Z]{1,12})(?:_+(?:[A-Z]{0,6}[a-z]+(?:[A-Z][a-z]{2,})*|[A-Z]{1,12}))*_*"
+#: Folders of a path, of which each is a word.
+_FOLDERS = rf"^(?:/?{_WORD}/)+"
+#: Paths whose last segment, if long, is looked at by itself.
+PATH = rf"{_FOLDERS}[A-Za-z0-9_-]*$"
 #: Candidates that are no secrets, however mixed their characters: plain or
 #: joined words, dates and numbers, identifiers of the 8-4-4-4-12 form, paths
-#: and runs of one character class only.
+#: of words and numbers and runs of one character class only.
 ALLOWED = [
     r"^[A-Za-z]+$",
     r"^[0-9=_+/-]+$",
     r"^[A-Za-z_-]*[a-z]{3}[A-Za-z]*([_/+=-][A-Za-z]+)+[_/+=-]*$",
     r"^[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}$",
-    r"^(/?[A-Za-z_]+/)+[A-Za-z0-9_-]*$",
+    rf"{_FOLDERS}(?:(?:{_WORD}|[0-9]{{1,8}})-+)*(?:{_WORD}[0-9]{{0,4}}|[0-9]{{1,8}})?-*$",
     r"^(.)\1*$",
 ]
 
@@ -97,7 +103,8 @@ def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     Base kinds are patterns (BASE).  The method adds candidate strings one of
     whose windows reaches the entropy of its character class, unless the
-    string is on the allow-list or overlaps a base span.
+    string is on the allow-list or overlaps a base span.  Of a path whose
+    folders are words, the last segment is the candidate, if it fills a window.
 
     Returns the columns of ``docs`` with ``secrets``, which replaces a column
     of that name: an array of (start, rank, end, kind) in code points with an
@@ -111,7 +118,9 @@ def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     once = docs.withColumn("__base", base)
     clear = lambda m: ~F.exists("__base", lambda b: (b["start"] < m["end"]) & (m["start"] < b["end"]))
     plain = lambda m: reduce(lambda a, b: a | b, (F.rlike(m["match"], F.lit(p)) for p in ALLOWED))
-    candidates = F.filter(_places(text, CANDIDATE), lambda m: clear(m) & ~plain(m) & F.rlike(m["match"], F.lit("[0-9]")) & F.rlike(m["match"], F.lit("[A-Za-z]")))
+    last = lambda m: F.when(F.rlike(m["match"], F.lit(PATH)) & ~plain(m), F.substring_index(m["match"], "/", -1)).otherwise(m["match"])
+    found = F.transform(_places(text, CANDIDATE), lambda m: F.struct((m["end"] - F.char_length(last(m))).alias("start"), m["end"].alias("end"), last(m).alias("match")))
+    candidates = F.filter(found, lambda m: (F.char_length(m["match"]) >= WINDOW) & clear(m) & ~plain(m) & F.rlike(m["match"], F.lit("[0-9]")) & F.rlike(m["match"], F.lit("[A-Za-z]")))
     scored = F.transform(candidates, lambda m: F.struct(m["start"].alias("start"), m["end"].alias("end"), m["match"].alias("match"), _peak_entropy(m["match"]).alias("bits")))
     first, second = CLASSES
     kind = lambda m: F.when(F.rlike(m["match"], F.lit(first[1])), F.lit(first[0])).otherwise(F.lit(second[0]))
