@@ -91,18 +91,27 @@ def salted_join(left: DataFrame, right: DataFrame, keys: list[str], spread: Colu
     return a.join(b, [*keys, "__salt"], how).drop("__salt")
 
 
-def gapless_rank(df: DataFrame, key: str, order: list[str], name: str, buckets: int = 1024) -> DataFrame:
+def gapless_rank(df: DataFrame, key: str, order: list[str], name: str, counts: dict) -> DataFrame:
     """Adds ``name``: 0, 1, 2 ... within each value of ``key``, without gaps.
 
-    A key may hold any share of the rows: it is cut into ``buckets`` by a hash
-    of ``order``, rows are numbered inside a bucket, and each bucket starts at
-    the number of rows in the buckets before it.  The counts have at most
-    (keys x buckets) rows and a window over them at most ``buckets``.
+    ``counts`` has the rows of every key; keys are few (shards, or lengths).  A
+    key may hold any share of the rows: it is cut into buckets by a hash of
+    ``order``, as many as its rows ask for, rows are numbered inside a bucket,
+    and each bucket starts at the number of rows in the buckets before it.  A
+    bucket holds about a 512th of all rows, but 64 at least and 65,536 at most,
+    and a window over the buckets of a key has a row for each of them.  Rows
+    that agree in all of ``order`` fall into one bucket.
     """
-    dealt = df.withColumn("__bucket", F.pmod(F.xxhash64(*order), F.lit(buckets)).cast("int"))
-    counts = dealt.groupBy(key, "__bucket").count()
+    total = sum(counts.values())
+    each = min(65_536, max(64, total // 512))
+    sizes = {k: -(-n // each) for k, n in counts.items()}
+    buckets = F.lit(1)
+    for n in sorted(set(sizes.values()) - {1}):
+        buckets = F.when(F.col(key).isin([k for k, x in sizes.items() if x == n]), n).otherwise(buckets)
+    dealt = df.withColumn("__bucket", F.pmod(F.xxhash64(*order), buckets).cast("long"))
+    held = dealt.groupBy(key, "__bucket").count()
     before = Window.partitionBy(key).orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
-    base = counts.select(F.col(key).alias("__k"), F.col("__bucket").alias("__b"), F.coalesce(F.sum("count").over(before), F.lit(0)).alias("__base"))
+    base = held.select(F.col(key).alias("__k"), F.col("__bucket").alias("__b"), F.coalesce(F.sum("count").over(before), F.lit(0)).alias("__base"))
     inside = Window.partitionBy(key, "__bucket").orderBy(*order)
     ranked = dealt.withColumn("__rank", F.row_number().over(inside) - 1)
     joined = ranked.join(base, (F.col(key) == F.col("__k")) & (F.col("__bucket") == F.col("__b")))

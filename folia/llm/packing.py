@@ -164,11 +164,13 @@ def pack_documents(docs: DataFrame, tokenizer: str | None = None, id_col: str =
     """
     spark = docs.sparkSession
     pieces = Stored(token_pieces(docs, tokenizer, id_col, text_col, capacity, end_id, with_ids)).df
+    # the place of a row in the stored table tells rows apart that agree in all columns
+    pieces = pieces.select("*", F.col("_metadata.file_name").alias("__file"), F.col("_metadata.row_index").alias("__row"))
     counts = {r["length"]: r["count"] for r in pieces.groupBy("length").count().collect()}
     layout = spark.createDataFrame(_layout(bin_patterns(counts, capacity)), "use_length long, lo long, hi long, copies long, bin long, at long")
     # the uses of a length are few and ordered by rank: an array of them a length, at most capacity rows
     layout = layout.groupBy("use_length").agg(F.sort_array(F.collect_list(F.struct("lo", "hi", "copies", "bin", "at"))).alias("uses"))
-    ranked = gapless_rank(pieces.withColumn("__id", F.col("doc_id").cast("string")), "length", ["__id", "piece", "start", "ids_crc32"], "rank")
+    ranked = gapless_rank(pieces, "length", ["__file", "__row"], "rank", counts)
     met = ranked.join(F.broadcast(layout), F.col("length") == F.col("use_length"))
     use = F.get(F.filter("uses", lambda u: (F.col("rank") >= u["lo"]) & (F.col("rank") < u["hi"])), F.lit(0))
     met = met.withColumn("use", use)
