@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -17,6 +18,11 @@ from .kernels import slices
 #: GPT-style pre-tokenisation that the byte-level vocabulary was made with; a fixed value.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
+#: Characters of one run of white space from which on a text goes through the
+#: slower library; the faster one fails at some 500,000.
+LONG_SPACE = 50_000
+_LONG_SPACE = re.compile(rf"\s{{{LONG_SPACE}}}")
+
 
 def fullest(counts: dict[int, int], capacity: int) -> dict[int, int]:
     """Copies of each available length that fill one bin best.
@@ -110,7 +116,8 @@ class _Encoder:
         return cls._made[path]
 
     def ids(self, text: str) -> list[int]:
-        if any(s in text for s in self.special):
+        # the faster library's pattern engine has no stack for white space without end
+        if any(s in text for s in self.special) or len(text) >= LONG_SPACE and _LONG_SPACE.search(text):
             return self.plain.encode(text, add_special_tokens=False).ids
         return self.fast.encode_ordinary(text)
 
@@ -120,7 +127,9 @@ def token_pieces(docs: DataFrame, tokenizer: str | None = None, id_col: str = "d
 
     A document is its text's ids and ``end_id``; null text is the empty text.
     A document longer than ``capacity`` is cut into pieces of just that length,
-    with what is over in the first piece.
+    with what is over in the first piece.  Texts are taken whole, whatever their
+    length and whatever runs of white space, letters or digits they hold; one
+    document's ids are in memory at a time.
     """
     kind = docs.schema[id_col].dataType.simpleString()
     schema = f"doc_id {kind}, piece int, start long, length long, ids_crc32 long" + ", ids array<int>" * with_ids
@@ -154,8 +163,9 @@ def pack_documents(docs: DataFrame, tokenizer: str | None = None, id_col: str =
     ``offset`` (its place there, gapless from 0) and, if asked for, ``ids``.
 
     Null or empty text is packed as its end id alone.  Null ids and repeated
-    rows are packed like others, each row by itself.  An empty table gives an
-    empty table.
+    rows are packed like others, each row by itself.  Very long texts are cut as
+    :func:`token_pieces` says.  Columns other than id and text are left out, so
+    none can clash.  An empty table gives an empty table.
 
     Only the histogram of lengths, with at most ``capacity`` rows, comes to the
     driver; there the combinations are chosen, each with its number of bins.
