@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -18,44 +19,94 @@ BASE = [
 CANDIDATE, WINDOW = r"[A-Za-z0-9+/_=-]{20,}", 20
 #: Character classes with the entropy, in bits a character, that a full window of a secret reaches.
 CLASSES = [("entropy_hex", r"^[0-9a-fA-F-]+$", 3.0), ("entropy_base64", r"^[A-Za-z0-9+/_=-]+$", 3.6)]
-#: A word as people write it: lower case, capitals or capitalised parts.
-_WORD = r"_*(?:[A-Z]{0,6}[a-z]+(?:[A-Z][a-z]{2,})*|[A-Z]{1,12})(?:_+(?:[A-Z]{0,6}[a-z]+(?:[A-Z][a-z]{2,})*|[A-Z]{1,12}))*_*"
+#: A word as people write it: lower case, capitals or capitalised parts.  The
+#: repeats are possessive, so that a long string costs no stack.
+_PART = r"(?:[A-Z]{0,6}[a-z]+(?:[A-Z][a-z]{2,})*+|[A-Z]{1,12})"
+_WORD = rf"_*{_PART}(?:_+{_PART})*+_*"
 #: Folders of a path, of which each is a word.
-_FOLDERS = rf"^(?:/?{_WORD}/)+"
+_FOLDERS = rf"^(?:/?{_WORD}/)++"
 #: Paths whose last segment, if long, is looked at by itself.
 PATH = rf"{_FOLDERS}[A-Za-z0-9_-]*$"
-#: Candidates that are no secrets, however mixed their characters: plain or
-#: joined words, dates and numbers, identifiers of the 8-4-4-4-12 form, paths
-#: of words and numbers and runs of one character class only.
+#: Candidates that are no secrets, however mixed their characters: identifiers
+#: of the 8-4-4-4-12 form and paths of words and numbers.  Candidates without a
+#: digit or without a letter (words, joined words, dates, rules of one
+#: character) are none in any case.
 ALLOWED = [
-    r"^[A-Za-z]+$",
-    r"^[0-9=_+/-]+$",
-    r"^[A-Za-z_-]*[a-z]{3}[A-Za-z]*([_/+=-][A-Za-z]+)+[_/+=-]*$",
-    r"^[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}$",
-    rf"{_FOLDERS}(?:(?:{_WORD}|[0-9]{{1,8}})-+)*(?:{_WORD}[0-9]{{0,4}}|[0-9]{{1,8}})?-*$",
-    r"^(.)\1*$",
+    r"^[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}$",
+    rf"{_FOLDERS}(?:(?:{_WORD}|[0-9]{{1,8}})-+)*+(?:{_WORD}[0-9]{{0,4}}|[0-9]{{1,8}})?-*$",
 ]
+#: Elements that a scan appends to one array before it starts the next.
+_CHUNK = 128
+
+
+def _scan(values: Column, zero: Column, step: Callable[[Column, Column], Column], kind: str) -> Column:
+    """The running states of a fold over an array, one for each element, of SQL type ``kind``.
+
+    Appending copies an array, so states are gathered by chunks, whose arrays
+    are gathered in turn: an array of n elements costs about n * _CHUNK copies.
+    """
+    none = F.array().cast(f"array<{kind}>")
+
+    def one(acc: Column, x: Column) -> Column:
+        # a one-element array binds the new state, which is then computed once
+        new = F.transform(F.array(step(acc["state"], x)), lambda now: F.struct(now.alias("state"), F.array_append(acc["out"], now).alias("out")))
+        return F.get(new, F.lit(0))
+
+    def many(acc: Column, chunk: Column) -> Column:
+        done = F.aggregate(chunk, F.struct(acc["state"].alias("state"), none.alias("out")), one)
+        bound = F.transform(F.array(done), lambda d: F.struct(d["state"].alias("state"), F.array_append(acc["out"], d["out"]).alias("out")))
+        return F.get(bound, F.lit(0))
+
+    def whole(bound: Column) -> Column:
+        n = F.size(bound)
+        # elements one by one, as slice() goes through the whole array
+        chunk = lambda c: F.transform(F.sequence(c * _CHUNK, F.least(c * _CHUNK + _CHUNK, n) - 1), lambda i: F.get(bound, i))
+        chunks = F.transform(F.sequence(F.lit(0), F.floor((n - 1) / _CHUNK).cast("int")), chunk)
+        start = F.struct(zero.cast(kind).alias("state"), F.array().cast(f"array<array<{kind}>>").alias("out"))
+        return F.when(F.size(bound) > 0, F.flatten(F.aggregate(chunks, start, many)["out"])).otherwise(none)
+
+    return F.get(F.transform(F.array(values), whole), F.lit(0))
 
 
 def _places(text: Column, pattern: str) -> Column:
     """Array of (start, end, match): every leftmost non-overlapping match, in code points.
 
     The text between matches is what ``split`` by the pattern leaves, so places
-    follow from lengths alone and each text is gone through once or twice.
+    follow from running sums of lengths, and each text is gone through once or
+    twice.
     """
-    step = lambda acc, i, gaps, found: F.struct(
-        (acc["at"] + F.char_length(F.get(gaps, i)) + F.char_length(F.get(found, i))).alias("at"),
-        F.array_append(
-            acc["out"],
-            F.struct((acc["at"] + F.char_length(F.get(gaps, i))).alias("start"), (acc["at"] + F.char_length(F.get(gaps, i)) + F.char_length(F.get(found, i))).alias("end"), F.get(found, i).alias("match")),
-        ).alias("out"),
-    )
-    none = F.array().cast("array<struct<start:int,end:int,match:string>>")
-    zero = F.struct(F.lit(0).alias("at"), none.alias("out"))
+    kind = "struct<start:int,end:int,match:string>"
     parts = F.array(F.struct(F.split(text, pattern, -1).alias("gaps"), F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("found")))
-    # the lambdas bind the two arrays, which are then computed once a text
-    walk = lambda p: F.aggregate(F.sequence(F.lit(0), F.size(p["found"]) - 1), zero, lambda acc, i: step(acc, i, p["gaps"], p["found"]))["out"]
-    return F.when(F.rlike(text, F.lit(pattern)), F.get(F.transform(parts, walk), F.lit(0))).otherwise(none)
+
+    def whole(p: Column) -> Column:
+        lengths = F.zip_with(F.transform(p["found"], F.char_length), p["gaps"], lambda m, g: F.char_length(g) + F.coalesce(m, F.lit(0)))
+        ends = _scan(lengths, F.lit(0), lambda at, n: at + n, "int")
+        # the last gap has no match
+        rows = F.zip_with(ends, p["found"], lambda end, m: F.struct((end - F.char_length(m)).alias("start"), end.alias("end"), m.alias("match")))
+        return F.filter(rows, lambda m: m["match"].isNotNull())
+
+    # the outer lambda binds the two arrays, which are then computed once a text
+    return F.when(F.rlike(text, F.lit(pattern)), F.get(F.transform(parts, whole), F.lit(0))).otherwise(F.array().cast(f"array<{kind}>"))
+
+
+def _apart(spans: Column, others: Column) -> Column:
+    """The ``spans`` (start, end, match) that overlap none of ``others`` (start, end).
+
+    Both are put in one order of starts.  Running sums over it give the
+    furthest end of the others before a span, and backwards the nearest start
+    of the others after it, so the work grows with the number of spans only.
+    """
+    mine = F.transform(spans, lambda m: F.struct(m["start"].alias("start"), F.lit(1).alias("own"), m["end"].alias("end"), m["match"].alias("match")))
+    theirs = F.transform(others, lambda b: F.struct(b["start"].alias("start"), F.lit(0).alias("own"), b["end"].alias("end"), F.lit("").alias("match")))
+
+    def clear(rows: Column) -> Column:
+        before = _scan(rows, F.lit(0), lambda far, r: F.when(r["own"] == 0, F.greatest(far, r["end"])).otherwise(far), "int")
+        after = F.reverse(_scan(F.reverse(rows), F.lit(2**31 - 1), lambda near, r: F.when(r["own"] == 0, r["start"]).otherwise(near), "int"))
+        met = F.filter(F.arrays_zip(rows.alias("row"), before.alias("before"), after.alias("after")), lambda z: (z["row"]["own"] == 1) & (z["before"] <= z["row"]["start"]) & (z["after"] >= z["row"]["end"]))
+        return F.transform(met, lambda z: F.struct(z["row"]["start"].alias("start"), z["row"]["end"].alias("end"), z["row"]["match"].alias("match")))
+
+    both = F.array(F.array_sort(F.concat(mine, theirs)))
+    return F.when((F.size(others) == 0) | (F.size(spans) == 0), spans).otherwise(F.get(F.transform(both, clear), F.lit(0)))
 
 
 def _peak_entropy(value: Column) -> Column:
@@ -110,24 +161,29 @@ def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     of that name: an array of (start, rank, end, kind) in code points with an
     exclusive end, in order of start and then of kind as listed.  Null or empty
     text has none; null ids, repeated rows and an empty table pass as they are.
-    Nothing is shuffled.
+    Texts of any length are read whole, in time that grows with their length
+    and their number of matches.  Nothing is shuffled.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
     kinds = [*(k for k, *_ in BASE), *(k for k, *_ in CLASSES)]
     base = reduce(F.concat, (_base_spans(text, rank, *spec) for rank, spec in enumerate(BASE)))
     once = docs.withColumn("__base", base)
-    clear = lambda m: ~F.exists("__base", lambda b: (b["start"] < m["end"]) & (m["start"] < b["end"]))
     plain = lambda m: reduce(lambda a, b: a | b, (F.rlike(m["match"], F.lit(p)) for p in ALLOWED))
-    last = lambda m: F.when(F.rlike(m["match"], F.lit(PATH)) & ~plain(m), F.substring_index(m["match"], "/", -1)).otherwise(m["match"])
-    found = F.transform(_places(text, CANDIDATE), lambda m: F.struct((m["end"] - F.char_length(last(m))).alias("start"), m["end"].alias("end"), last(m).alias("match")))
-    candidates = F.filter(found, lambda m: (F.char_length(m["match"]) >= WINDOW) & clear(m) & ~plain(m) & F.rlike(m["match"], F.lit("[0-9]")) & F.rlike(m["match"], F.lit("[A-Za-z]")))
+    mixed = lambda m: (F.char_length(m["match"]) >= WINDOW) & F.rlike(m["match"], F.lit("[0-9]")) & F.rlike(m["match"], F.lit("[A-Za-z]"))
+    last = lambda m: F.when(F.rlike(m["match"], F.lit(PATH)), F.substring_index(m["match"], "/", -1)).otherwise(m["match"])
+    found = F.filter(_places(text, CANDIDATE), lambda m: mixed(m) & ~plain(m))
+    found = F.transform(found, lambda m: F.struct((m["end"] - F.char_length(last(m))).alias("start"), m["end"].alias("end"), last(m).alias("match")))
+    candidates = F.filter(found, lambda m: mixed(m) & ~plain(m))
+    once = once.withColumn("__found", candidates)
+    once = once.withColumn("__found", _apart(F.col("__found"), F.col("__base")))
+    candidates = F.col("__found")
     scored = F.transform(candidates, lambda m: F.struct(m["start"].alias("start"), m["end"].alias("end"), m["match"].alias("match"), _peak_entropy(m["match"]).alias("bits")))
     first, second = CLASSES
     kind = lambda m: F.when(F.rlike(m["match"], F.lit(first[1])), F.lit(first[0])).otherwise(F.lit(second[0]))
     high = lambda m: m["bits"] >= F.when(F.rlike(m["match"], F.lit(first[1])), F.lit(first[2])).otherwise(F.lit(second[2]))
     rank = lambda m: F.when(F.rlike(m["match"], F.lit(first[1])), F.lit(kinds.index(first[0]))).otherwise(F.lit(kinds.index(second[0])))
     more = F.transform(F.filter(scored, high), lambda m: F.struct(m["start"].alias("start"), rank(m).alias("rank"), m["end"].alias("end"), kind(m).alias("kind")))
-    return once.withColumn("secrets", F.array_sort(F.concat("__base", more))).drop("__base")
+    return once.withColumn("secrets", F.array_sort(F.concat("__base", more))).drop("__base", "__found")
 
 
 def written_spans(spans: Column) -> Column:
@@ -136,10 +192,20 @@ def written_spans(spans: Column) -> Column:
 
 
 def redacted(text: Column, spans: Column, mark: str = "[secret]") -> Column:
-    """The text with every span replaced; overlapping spans give one mark."""
-    step = lambda acc, s: F.struct(
-        F.greatest(acc["at"], s["end"]).alias("at"),
-        F.concat(acc["out"], F.when(s["start"] >= acc["at"], F.concat(F.substring(text, acc["at"] + 1, s["start"] - acc["at"]), F.lit(mark))).otherwise("")).alias("out"),
-    )
-    done = F.aggregate(spans, F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), step)
-    return F.concat(done["out"], F.substring(text, done["at"] + 1, F.char_length(text)))
+    """The text with every span replaced; overlapping spans give one mark.
+
+    The text is cut into characters once and the spans' running ends tell which
+    pieces stay, so the work grows with its length, however many spans it has.
+    """
+
+    def cut(p: Column) -> Column:
+        ends = _scan(p["spans"], F.lit(0), lambda far, s: F.greatest(far, s["end"]), "int")
+        before = F.concat(F.array(F.lit(0)), ends)
+        starts = F.concat(F.transform(p["spans"], lambda s: s["start"]), F.array(F.size(p["chars"])))
+        gaps = F.arrays_zip(before.alias("lo"), starts.alias("hi"))
+        # a span that starts inside the ones before it leaves no gap and gives no mark of its own
+        pieces = F.transform(gaps, lambda g, i: F.concat(F.when((i > 0) & ((g["hi"] >= g["lo"]) | (i == F.size(p["spans"]))), F.lit(mark)).otherwise(""), F.array_join(F.slice(p["chars"], g["lo"] + 1, F.greatest(g["hi"] - g["lo"], F.lit(0))), "")))
+        return F.array_join(pieces, "")
+
+    parts = F.array(F.struct(F.split(text, "").alias("chars"), spans.alias("spans")))
+    return F.when(F.size(spans) > 0, F.get(F.transform(parts, cut), F.lit(0))).otherwise(text)
