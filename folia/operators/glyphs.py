@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import math
 import re
+from collections.abc import Iterator
 
-import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -39,7 +40,7 @@ def _without_copies(chars: list[dict]) -> list[dict]:
     for row in rows.values():
         kept: list[dict] = []
         for c in sorted(row, key=lambda g: g["x0"]):
-            twin = any(k["char"] == c["char"] and np.hypot(c["center_x"] - k["center_x"], c["center_y"] - k["center_y"]) < SAME_GLYPH for k in kept)
+            twin = any(k["char"] == c["char"] and math.hypot(c["center_x"] - k["center_x"], c["center_y"] - k["center_y"]) < SAME_GLYPH for k in kept)
             if not twin:
                 kept.append(c)
         out += kept
@@ -82,16 +83,40 @@ def assemble(chars: list[dict]) -> str:
 def block_text(chars: DataFrame) -> DataFrame:
     """``text`` and ``text_length`` of every block that has glyphs.
 
-    Lines grow glyph by glyph, so a block, which is small, is one group.
-    ``char_idx`` gives the glyphs' order of appearance.
+    Lines grow glyph by glyph, so a block, which is small, is put together at
+    once.  ``char_idx`` gives the glyphs' order of appearance.  Pages are dealt
+    by hash and sorted, and a task goes through its blocks in one pass.
     """
     kinds = {f.name: f.dataType.simpleString() for f in chars.schema}
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        text = assemble(pdf.sort_values("char_idx").to_dict("records"))
-        return pd.DataFrame({**{k: [pdf[k].iloc[0]] for k in BLOCK}, "text": [text], "text_length": [len(text)]})
-
-    return chars.groupBy(*BLOCK).applyInPandas(run, ", ".join(f"{k} {kinds[k]}" for k in BLOCK) + ", text string, text_length int")
+    facts = ["char", "x0", "y0", "x1", "y1", "center_x", "center_y", "span_origin", "span_end"]
+    schema = ", ".join(f"{k} {kinds[k]}" for k in BLOCK) + ", text string, text_length int"
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        types = None
+        block, held = None, []
+        for batch in batches:
+            types = types or [batch.schema.field(k).type for k in BLOCK]
+            keys = list(zip(*(batch.column(k).to_pylist() for k in BLOCK), strict=True))
+            rows = zip(*(batch.column(c).to_pylist() for c in facts), strict=True)
+            done: list[tuple] = []
+            for key, row in zip(keys, rows, strict=True):
+                if key != block:
+                    if held:
+                        done.append((*block, assemble(held)))
+                    block, held = key, []
+                held.append(dict(zip(facts, row, strict=True)))
+            if done:
+                yield texts(done, types)
+        if held:
+            yield texts([(*block, assemble(held))], types)
+
+    def texts(done: list[tuple], types: list) -> pa.RecordBatch:
+        cols = list(zip(*done, strict=True))
+        made = [pa.array(c, t) for c, t in zip(cols, types, strict=False)]
+        return pa.RecordBatch.from_arrays([*made, pa.array(cols[-1], pa.string()), pa.array([len(t) for t in cols[-1]], pa.int32())], [*BLOCK, "text", "text_length"])
+
+    dealt = chars.select(*BLOCK, *facts, "char_idx").repartition("doc_id", "page_index").sortWithinPartitions(*BLOCK, "char_idx")
+    return dealt.select(*BLOCK, *facts).mapInArrow(run, schema)
 
 
 def font_summary(spans: DataFrame, keys: list[str] = BLOCK) -> DataFrame:

@@ -305,5 +305,5 @@ _PICTURE = f"CASE WHEN block_idx % 3 > 0 THEN {_STEM} || '_block_' || block_idx
 ORACLE["image_block_join"] = f"SELECT doc_id, block_idx, {_PICTURE} AS image_id FROM ({_S}) AS t WHERE block_label IN ({_IMAGES}) AND block_idx % 3 > 0"
 ORACLE["image_block_left_join"] = f"SELECT doc_id, block_idx, {_PICTURE} AS image_id FROM ({_S}) AS t WHERE block_label IN ({_IMAGES})"
 ORACLE["describe_images"] = f"SELECT doc_id, block_idx, CASE WHEN block_label NOT IN ({_IMAGES}) THEN block_content WHEN block_idx % 3 > 0 THEN block_label || ':' || octet_length(encode(block_content)) ELSE '[이미지 파일 없음: page_' || doc_id || '_0_res_block_' || block_idx || '.png]' END AS block_content FROM ({_S}) AS t"
-ORACLE["request_bodies"] = f"SELECT {_STEM} || '_block_' || block_idx || '.png' AS block_id, base64(encode(block_content)) AS encoded, block_label AS answer FROM ({_S}) AS t WHERE block_idx % 3 > 0"
+ORACLE["request_bodies"] = f"""SELECT {_STEM} || '_block_' || block_idx || '.png' AS block_id, concat('{{"model":"vlm","max_tokens":2048,"temperature":0.1,"messages":[{{"role":"user","content":[{{"type":"image_url","image_url":{{"url":"data:image/png;base64,', base64(encode(block_content)), '"}}}},{{"type":"text","text":"\\"이것\\"은 ', block_label, '"}}]}}]}}') AS body, block_label AS answer FROM ({_S}) AS t WHERE block_idx % 3 > 0"""
 ORACLE["page_join"] = f"SELECT doc_id % 3 <> 0 AS missing, count(*) AS n FROM ({_S}) AS t GROUP BY 1"

@@ -326,7 +326,7 @@ def describe_images(spark: SparkSession, d: str) -> DataFrame:
 @query
 def request_bodies(spark: SparkSession, d: str) -> DataFrame:
     _, images = _images(spark, d)
-    return images.select("block_id", F.base64("png").alias("encoded"), vlm.answer_of(F.concat(F.lit('{"choices":[{"message":{"content":"  '), F.col("block_label"), F.lit(' "}}]}'))).alias("answer"))
+    return images.select("block_id", vlm.request_body(F.col("png"), F.concat(F.lit('"이것"은 '), F.col("block_label"))).alias("body"), vlm.answer_of(F.concat(F.lit('{"choices":[{"message":{"content":"  '), F.col("block_label"), F.lit(' "}}]}'))).alias("answer"))
 
 
 @query

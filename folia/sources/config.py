@@ -57,33 +57,57 @@ def read_env_file(path: str | Path) -> dict[str, str]:
 
 @dataclass
 class Config:
-    """Settings of the document pipeline."""
+    """Settings of the document pipeline; ``KEYS`` are their names in a file or the environment."""
 
-    input_path: str = ""
+    input_path: str = "work.pdf"
     output_path: str = "output"
-    doc_type: str = "insurance"
-    use_vlm: bool = False
-    vlm_api_base: str | None = None
-    vlm_api_key: str | None = None
+    max_workers: int = 5
+    use_vlm: bool = True
+    vlm_api_base: str = "http://localhost:8888/v1"
+    vlm_api_key: str = "optional-api-key-here"
     vlm_batch_size: int = 10
+    log_level: str = "INFO"
+    log_format: str = "%(asctime)s - %(name)s - %(levelname)s - %(message)s"
+    doc_type: str = "insurance"
+    hierarchy_file: str = "document_hierarchy.json"
+    references_file: str = "document_hierarchy_references.json"
+    export_dir: str = "neo4j_export"
     vlm_prompts: dict[str, str] = field(default_factory=dict)
 
     @classmethod
     def load(cls, path: str | Path | None = None) -> Config:
-        """From a file if there is one, else from the environment."""
-        values = read_env_file(path) if path and Path(path).is_file() else dict(os.environ)
-        try:
-            return cls(
-                input_path=values.get("INPUT_PATH", ""),
-                output_path=values.get("OUTPUT_PATH", "output"),
-                doc_type=values.get("DOC_TYPE", "insurance"),
-                use_vlm=values.get("USE_VLM", "false").lower() in ("1", "true", "yes"),
-                vlm_api_base=values.get("VLM_API_BASE") or None,
-                vlm_api_key=values.get("VLM_API_KEY") or None,
-                vlm_batch_size=int(values.get("VLM_BATCH_SIZE", "10")),
-            )
-        except ValueError as e:
-            raise ConfigError(str(e), "config") from e
+        """From the environment, whose place the values of a file take where there is one."""
+        values = {**os.environ, **(read_env_file(path) if path and Path(path).is_file() else {})}
+        made = cls()
+        for name, keys in KEYS.items():
+            key = next((k for k in keys if k in values), None)
+            if key is None:
+                continue
+            kind = type(getattr(made, name))
+            try:
+                value = values[key].strip().lower() in ("1", "true", "yes") if kind is bool else kind(values[key])
+            except ValueError as e:
+                raise ConfigError(f"{key}: {e}", "config") from e
+            setattr(made, name, value)
+        return made
+
+
+#: The names of each setting, the first of them counts.
+KEYS = {
+    "input_path": ["INPUT_PATH"],
+    "output_path": ["OUT_DIR", "OUTPUT_PATH"],
+    "max_workers": ["MAX_WORKERS"],
+    "use_vlm": ["ENABLE_VLM_PROCESSING", "USE_VLM"],
+    "vlm_api_base": ["VLM_API_BASE"],
+    "vlm_api_key": ["VLM_API_KEY"],
+    "vlm_batch_size": ["VLM_BATCH_SIZE"],
+    "log_level": ["LOG_LEVEL"],
+    "log_format": ["LOG_FORMAT"],
+    "doc_type": ["DOC_TYPE"],
+    "hierarchy_file": ["OUTPUT_HIERARCHY_FILE"],
+    "references_file": ["OUTPUT_REFERENCES_FILE"],
+    "export_dir": ["OUTPUT_NEO4J_EXPORT_DIR"],
+}
 
 
 def parse_steps(text: str) -> set[int]:

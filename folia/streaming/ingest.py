@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.state import GroupState
 
 from ..sources.schemas import LAYOUT
 
@@ -15,19 +19,38 @@ def stream_layout(spark: SparkSession, path: str, files_a_batch: int = 1000) ->
     return raw.select("*", folder.alias("doc_id"), F.col("_metadata.file_name").alias("file_name"), F.col("_metadata.file_modification_time").alias("came"))
 
 
-def complete_documents(pages: DataFrame, lateness: str = "1 hour") -> DataFrame:
-    """Documents all of whose pages have come: ``doc_id``, ``page_count``, ``pages_seen``.
+def complete_documents(pages: DataFrame, lateness: str = "1 hour", wait: str = "24 hours") -> DataFrame:
+    """Documents all of whose pages have come, once each: ``doc_id``, ``page_count``, ``pages_seen``, ``last_page``.
 
-    Every page says how many there are.  Pages that come twice count once; with
-    a watermark, state of documents is let go ``lateness`` after their last page.
+    Every page says how many there are; pages that come twice count once.  The
+    state of a document is its page numbers.  It is let go when the document is
+    complete, or when the watermark, ``lateness`` behind the newest page, has
+    passed its last page by ``wait``; such a document is never given.
     """
-    marked = pages.withWatermark("came", lateness)
-    got = marked.groupBy("doc_id").agg(F.max("page_count").alias("page_count"), F.size(F.collect_set("page_index")).alias("pages_seen"), F.max("came").alias("last_page"))
-    return got.where("pages_seen >= page_count")
-
-
-def start(df: DataFrame, table: str, checkpoint: str, mode: str = "append"):
-    """Writes a stream as Parquet (append) or, in complete mode, to a table in memory."""
-    if mode == "append":
-        return df.writeStream.format("parquet").option("path", table).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-    return df.writeStream.format("memory").queryName(table).outputMode(mode).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    limit = int(pd.Timedelta(wait).total_seconds() * 1000)
+
+    def run(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+            return
+        seen, count, last = state.get if state.exists else ([], 0, 0)
+        seen = set(seen)
+        for pdf in frames:
+            seen |= {int(p) for p in pdf["page_index"].dropna()}
+            count = max(count, int(pdf["page_count"].fillna(0).max()))
+            last = max(last, int(pdf["came"].max().timestamp() * 1000))
+        if count and len(seen) >= count:
+            if state.exists:
+                state.remove()
+            yield pd.DataFrame({"doc_id": [key[0]], "page_count": [count], "pages_seen": [len(seen)], "last_page": [pd.Timestamp(last, unit="ms")]})
+        else:
+            state.update((sorted(seen), count, last))
+            state.setTimeoutTimestamp(max(last, state.getCurrentWatermarkMs() + 1) + limit)
+
+    few = pages.withWatermark("came", lateness).select("doc_id", "page_index", "page_count", "came")
+    return few.groupBy("doc_id").applyInPandasWithState(run, "doc_id string, page_count int, pages_seen int, last_page timestamp", "seen array<int>, count int, last long", "append", "EventTimeTimeout")
+
+
+def start(df: DataFrame, table: str, checkpoint: str):
+    """Appends what a stream gives to Parquet files; a restart goes on from its checkpoint."""
+    return df.writeStream.format("parquet").option("path", table).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

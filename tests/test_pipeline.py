@@ -69,8 +69,27 @@ def test_stream_of_pages(spark, folder, tmp_path):
     stream = ingest.stream_layout(spark, folder)
     ingest.start(layout.blocks_of(stream), str(tmp_path / "blocks"), str(tmp_path / "c1")).awaitTermination()
     assert spark.read.parquet(str(tmp_path / "blocks")).count() == len(TEXTS)
-    ingest.start(ingest.complete_documents(stream), "complete_docs", str(tmp_path / "c2"), "complete").awaitTermination()
-    assert [(r.doc_id, r.pages_seen) for r in spark.table("complete_docs").collect()] == [("doc", 2)]
+    ingest.start(ingest.complete_documents(stream), str(tmp_path / "docs"), str(tmp_path / "c2")).awaitTermination()
+    assert [(r.doc_id, r.pages_seen) for r in spark.read.parquet(str(tmp_path / "docs")).collect()] == [("doc", 2)]
+
+
+def test_documents_come_once_over_several_runs(spark, tmp_path):
+    def page(doc, k):
+        (tmp_path / "in" / doc).mkdir(parents=True, exist_ok=True)
+        (tmp_path / "in" / doc / f"p_{k}_res.json").write_text(f'{{"page_index": {k}, "page_count": 2, "parsing_res_list": []}}')
+
+    def run():
+        got = ingest.complete_documents(ingest.stream_layout(spark, str(tmp_path / "in")))
+        ingest.start(got, str(tmp_path / "out"), str(tmp_path / "c")).awaitTermination()
+        return sorted(r.doc_id for r in spark.read.parquet(str(tmp_path / "out")).collect())
+
+    page("a", 0)
+    page("b", 0)
+    page("b", 1)
+    assert run() == ["b"]
+    page("a", 1)
+    assert run() == ["a", "b"]
+    assert run() == ["a", "b"]
 
 
 def test_documents_that_fail_are_rows(spark, tmp_path):
