@@ -19,8 +19,8 @@ MAX_EDITS = 0.2
 #: Repetitions, sampled coordinates in each, and starts inside an item.  A try
 #: (repetition and start) that agrees with probability p finds the passage, so
 #: REPEATS * STARTS tries miss it with (1 - p) ** (REPEATS * STARTS): below 1 %
-#: at p = 0.04, which is what passages with a tenth of their words edited show.
-REPEATS, SAMPLES, STARTS = 20, 4, 6
+#: at p = 0.033.  tests/llm/test_wide_text.py measures what edits leave of that.
+REPEATS, SAMPLES, STARTS = 28, 2, 5
 #: Items with fewer words are too common to tell and match nothing.
 MIN_WORDS = 5
 #: Bytes of items that one pass over the documents looks for.
@@ -100,7 +100,7 @@ class ItemIndex:
         self.ids, self.texts = [], []
         hashes = []
         for item, text in items:
-            w = Words(pa.array([text], pa.string()), lower=True, space=PUNCTUATION)
+            w = Words(pa.array([text], pa.string()), lower=True, space=PUNCTUATION, split_wide=True)
             if len(w.start) >= MIN_WORDS:
                 self.ids.append(item)
                 self.texts.append(_plain(w, 0, len(w.start)))
@@ -164,7 +164,7 @@ class ItemIndex:
 
     def matches(self, col: pa.Array) -> list[tuple[int, int, int, int, int]]:
         """(row, item, edits, start, end) of each row's best passage for each item; places in code points."""
-        w = Words(col, lower=True, space=PUNCTUATION)
+        w = Words(col, lower=True, space=PUNCTUATION, split_wide=True)
         best: dict[tuple[int, int], tuple[int, int, int]] = {}
         done: dict[tuple[int, int], list[int]] = defaultdict(list)
         for row, k, first in sorted(self.candidates(w)):
@@ -242,14 +242,17 @@ def _passes(benchmark: DataFrame, item_col: str, item_text: str, max_edits: floa
 def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text", max_edits: float = MAX_EDITS) -> DataFrame:
     """Documents that hold a benchmark item, one row a document and item.
 
-    Both sides are read as words of letters and digits, A-Z lower-cased.
+    Both sides are read as words of letters and digits, A-Z lower-cased;
+    characters from U+0800 on, of scripts that set no spaces, are words each.
     Columns: ``doc_id``, ``item_id``, ``edits`` (least edit distance of the item
     to a passage, in characters of these words), ``item_chars``, ``start`` and
     ``end`` (of the passage in the text, in code points).
 
     Null or empty text holds nothing; items of fewer than MIN_WORDS words, null
-    ones among them, match nothing.  Null ids and repeated rows give rows of
-    their own; if either table is empty, so is the result.
+    ones among them, match nothing.  Texts of any length are read whole.  Of
+    passages equally near the first counts.  Null ids and repeated rows give
+    rows of their own; only the named columns are read, so others cannot clash;
+    if either table is empty, so is the result.
 
     Documents are not shuffled; the items, bounded by PASS_BYTES a pass, travel
     to the tasks.
@@ -276,7 +279,12 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text: str = "text", max_edits: float = MAX_EDITS) -> DataFrame:
-    """The rows of ``docs`` whose text holds no item of ``benchmark``, with their columns."""
+    """The rows of ``docs`` whose text holds no item of ``benchmark``, with their columns.
+
+    Nulls, short items, empty and very long texts, ties and repeated rows are as
+    in :func:`contaminated`; an empty benchmark keeps all rows, and columns of
+    any name pass.
+    """
     at, schema = docs.columns.index(text_col), T.StructType(list(docs.schema.fields))
     for items in _passes(benchmark, item_col, item_text, max_edits):
         sent = docs.sparkSession.sparkContext.broadcast(items)

@@ -58,10 +58,24 @@ def slices(col: pa.Array, most: int = 2 * _BLOCK) -> Iterator[tuple[int, int]]:
         lo = hi
 
 
+def _beside_wide(data: np.ndarray) -> np.ndarray:
+    """Bytes that begin a character which is, or follows, one from U+0800 on."""
+    lead = (data & 0xC0) != 0x80
+    of = np.cumsum(lead) - 1
+    wide = (data[lead] >= 0xE0)[np.maximum(of, 0)]
+    out = lead & wide
+    out[1:] |= lead[1:] & wide[:-1]
+    return out
+
+
 class Words:
-    """Words of a slice: byte ``start``/``end``, the row ``first`` indexes and a 64-bit ``hash``."""
+    """Words of a slice: byte ``start``/``end``, the row ``first`` indexes and a 64-bit ``hash``.
+
+    With ``split_wide``, characters from U+0800 on (of scripts that set no
+    spaces, among others) are words of their own.
+    """
 
-    def __init__(self, col: pa.Array, lower: bool, space: np.ndarray = _SPACE):
+    def __init__(self, col: pa.Array, lower: bool, space: np.ndarray = _SPACE, split_wide: bool = False):
         data, off = text_buffers(col)
         self.data, self.off = data, off
         word = ~space[data]
@@ -69,9 +83,12 @@ class Words:
         before = np.zeros(len(data), bool)
         before[1:] = word[:-1]
         before[edge] = False
-        self.start = np.flatnonzero(word & ~before)
+        first = word & ~before
+        if split_wide and len(data) and data.max() >= 0xE0:
+            first |= word & _beside_wide(data)
+        self.start = np.flatnonzero(first)
         after = np.zeros(len(data), bool)
-        after[:-1] = word[1:]
+        after[:-1] = word[1:] & ~first[1:]
         after[edge[edge > 0] - 1] = False
         self.end = np.flatnonzero(word & ~after) + 1
         #: Index of each row's first word, and the total at the end.
