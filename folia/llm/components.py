@@ -23,7 +23,7 @@ def _smallest(edges: DataFrame) -> DataFrame:
     """Each node links itself and its smaller neighbours to the smallest of them."""
     down = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
     low = down.groupBy("u").agg(F.min("v").alias("m"))
-    met = down.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    met = salted_join(down, low, ["u"], F.col("v"), salts=SPREAD).select(F.col("v").alias("u"), F.col("m").alias("v"))
     return met.union(low.select("u", F.col("m").alias("v"))).where(F.col("u") != F.col("v"))
 
 
