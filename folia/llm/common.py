@@ -39,6 +39,11 @@ def remove(spark: SparkSession, path: str) -> None:
     at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
 
 
+def remove_at_end(spark: SparkSession, path: str) -> None:
+    """Delete a folder when the process ends."""
+    _written.append((spark, path))
+
+
 @atexit.register
 def _remove_all() -> None:
     for spark, path in _written:
