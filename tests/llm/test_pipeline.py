@@ -40,7 +40,7 @@ def test_stages(spark, docs, sf_dir):
     assert {r["doc_id"]: r["text"] for r in cut} == {d: v[2] for d, v in ref.items()} and b.columns == docs.columns
     assert all(r["n_chars"] == len(r["text"]) for r in cut)
     c, near = step("near dedup", b)
-    assert {r["doc_id"] for r in near} == {d for d, v in near_reference(cut).items() if v[2]} and c.columns == docs.columns
+    assert {r["doc_id"] for r in near} == {d for d, v in near_reference(cut, 80).items() if v[2]} and c.columns == docs.columns
     d, clean = step("decontamination", c)
     items = [t for t in (plain_words(r.text) for r in spark.read.parquet(f"{sf_dir}/benchmark.parquet").collect()) if len(t.split()) >= decontam.MIN_WORDS]
     leaks = {r["doc_id"] for r in near if any(decontam.nearest(t, plain_words(r["text"]))[0] <= 0.2 * len(t) for t in items)}
