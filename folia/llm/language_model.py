@@ -260,7 +260,8 @@ def _trusted_counts(blocks: Blocks, trusted: DataFrame, kind: str, order: int) -
 
         yield from _counted(texts(), order)
 
-    held = blocks.ask(ids, f"doc_id {kind}, block int, pos long")
+    # ids are stored, so that texts are not read anew for them when a task of the join is lost
+    held = Stored(blocks.ask(ids, f"doc_id {kind}, block int, pos long")).df
     # a sort-merge join at every size: trusted ids grow with the corpus
     met = held.join(trusted.hint("merge"), "doc_id", "left_semi").select("block", "pos", "doc_id")
     return _added(blocks.meet(met, count, "g long, c long"))
