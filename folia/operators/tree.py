@@ -67,8 +67,16 @@ def joined_text(pairs: DataFrame, shown: Column, keep_empty: bool = False) -> Da
     return got.select("doc_id", "top_uid", F.array_join("rows.t", "\n").alias("text"))
 
 
-def full_text(nodes: DataFrame, top: DataFrame) -> DataFrame:
-    return joined_text(subtree_pairs(nodes, top), F.col("content"))
+def full_text(nodes: DataFrame, top: DataFrame, keep_empty: bool = False) -> DataFrame:
+    return joined_text(subtree_pairs(nodes, top), F.col("content"), keep_empty)
+
+
+def section_counts(nodes: DataFrame, refs: DataFrame) -> DataFrame:
+    """``articles`` and ``refs`` (both of all depths) of every section; one without any has 0."""
+    key = ["doc_id", "section_idx"]
+    cited = refs.groupBy(*key).agg(F.count(F.lit(1)).alias("refs"))
+    held = nodes.groupBy(*key).agg(F.count_if(F.col("type") == "조").alias("articles"))
+    return held.join(cited, key, "left").select(*key, "articles", F.coalesce("refs", F.lit(0).cast("long")).alias("refs"))
 
 
 def all_references(nodes: DataFrame, refs: DataFrame, top: DataFrame) -> DataFrame:

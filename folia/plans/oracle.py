@@ -161,6 +161,7 @@ def _folded() -> str:
 ORACLE["parse_nodes"] = f"{_folded()} SELECT doc_id, section_idx, seq, sub, type, level, number, id, parent_seq, parent_sub FROM made_nodes"
 ORACLE["node_text"] = f"{_folded()} SELECT doc_id, preorder, CAST(depth AS INT) AS depth, id, content FROM made_nodes"
 ORACLE["section_text"] = f"{_folded()} SELECT doc_id, section_idx, string_agg(content, chr(10) ORDER BY preorder) AS text FROM made_nodes WHERE content <> '' GROUP BY 1, 2"
+ORACLE["section_whole_text"] = f"{_folded()} SELECT doc_id, section_idx, string_agg(content, chr(10) ORDER BY preorder) AS text FROM made_nodes GROUP BY 1, 2"
 _GENERAL = "(SELECT doc_id, arg_min(id, section_idx) AS target FROM made_nodes WHERE type = 'section' AND contains(title, '보통약관') GROUP BY doc_id)"
 ORACLE["extends_relations"] = f"""{_folded()} SELECT DISTINCT s.doc_id, s.section_idx, s.id AS source, g.target, 'EXTENDS' AS type FROM made_nodes AS s JOIN made_nodes AS n ON n.doc_id = s.doc_id AND n.section_idx = s.section_idx JOIN {_GENERAL} AS g ON g.doc_id = s.doc_id
     WHERE s.type = 'section' AND (contains(s.title, '추가약관') OR contains(s.title, '특별약관')) AND contains(n.content, '보통약관')"""
@@ -210,6 +211,7 @@ def _references() -> str:
 
 
 ORACLE["resolve_refs"] = f"{_references()} SELECT doc_id, section_idx, seq, part, source_id, CAST(ordinal AS INT) AS ordinal, ref_type, target_law, target_jo, target_jo_branch, target_hang, target_ho, target_mok, raw_text, resolved_id FROM found"
+ORACLE["section_counts"] = f"""{_references()} SELECT n.doc_id, n.section_idx, count(*) FILTER (type = '조') AS articles, (SELECT count(*) FROM found AS r WHERE r.doc_id = n.doc_id AND r.section_idx = n.section_idx) AS refs FROM made_nodes AS n GROUP BY 1, 2"""
 ORACLE["reference_statistics"] = f"{_references()} SELECT ref_type, count(*) AS n, count(resolved_id) AS resolved FROM found GROUP BY 1"
 _EDGES = """SELECT c.doc_id, c.section_idx, p.id AS source, c.id AS target, 'HAS_CHILD' AS type, NULL AS raw_text, CAST(NULL AS INT) AS target_jo, CAST(NULL AS INT) AS target_hang, NULL AS law, CAST(NULL AS INT) AS article FROM made_nodes AS c JOIN made_nodes AS p ON p.doc_id = c.doc_id AND p.section_idx = c.section_idx AND p.seq = c.parent_seq AND p.sub = c.parent_sub
     UNION ALL SELECT doc_id, section_idx, source_id, resolved_id, 'REFERENCES', raw_text, target_jo, target_hang, NULL, NULL FROM found WHERE resolved_id IS NOT NULL

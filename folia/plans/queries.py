@@ -160,6 +160,18 @@ def section_text(spark: SparkSession, d: str) -> DataFrame:
     return tree.full_text(nodes, nodes.where("type = 'section'")).join(nodes.select("doc_id", F.col("node_uid").alias("top_uid"), "section_idx"), ["doc_id", "top_uid"]).select("doc_id", "section_idx", "text")
 
 
+@query
+def section_whole_text(spark: SparkSession, d: str) -> DataFrame:
+    nodes, _ = _tree(spark, d)
+    top = nodes.where("type = 'section'")
+    return tree.full_text(nodes, top, keep_empty=True).join(top.select("doc_id", F.col("node_uid").alias("top_uid"), "section_idx"), ["doc_id", "top_uid"]).select("doc_id", "section_idx", "text")
+
+
+@query
+def section_counts(spark: SparkSession, d: str) -> DataFrame:
+    return tree.section_counts(*_tree(spark, d))
+
+
 @query
 def text_scalars(spark: SparkSession, d: str) -> DataFrame:
     c = F.col("block_content")
