@@ -20,4 +20,11 @@ NEAR = f"""WITH RECURSIVE w AS (SELECT doc_id, list_filter(regexp_split_to_array
     SELECT d.doc_id, coalesce(n, 0) AS n_shingles, least(d.doc_id, coalesce(m, d.doc_id)) AS component_id, d.doc_id <= coalesce(m, d.doc_id) AS kept
     FROM documents AS d LEFT JOIN sizes AS z ON z.doc_id = d.doc_id LEFT JOIN (SELECT a, min(b) AS m FROM reach GROUP BY a) AS r ON r.a = d.doc_id"""
 
-ORACLE_SQL = {"op5_lines": LINES, "op7_neardup": NEAR}
+FIM = """WITH d AS (SELECT doc_id, coalesce(text, '') AS t, sha256('1:' || doc_id) AS h FROM documents),
+    e AS (SELECT doc_id, t, length(t) AS n, [('0x' || h[8 * k + 1:8 * k + 8])::UBIGINT FOR k IN range(4)] AS r FROM d),
+    f AS (SELECT doc_id, t, n, least(r[1] % (n + 1), r[2] % (n + 1))::BIGINT AS a, greatest(r[1] % (n + 1), r[2] % (n + 1))::BIGINT AS b,
+        CASE WHEN t = '' OR regexp_matches(t, '<[PSM]>') OR r[3] % 100 >= 90 THEN 'plain' WHEN r[4] % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM e)
+    SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN a END AS prefix_chars, CASE WHEN form <> 'plain' THEN b - a END AS middle_chars, sha256(t) AS restored_sha256,
+        sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || t[:a] || '<S>' || t[b + 1:] || '<M>' || t[a + 1:b] ELSE '<S>' || t[b + 1:] || '<P>' || t[:a] || '<M>' || t[a + 1:b] END) AS output_sha256 FROM f"""
+
+ORACLE_SQL = {"op13_fim": FIM, "op5_lines": LINES, "op7_neardup": NEAR}
