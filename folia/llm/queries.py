@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import conversations, decontam, fim, language_model, lines, neardup, packing, quality_rules, repeats, secret_scan, sharding, urls
+from . import context_trees, conversations, decontam, fim, language_model, lines, neardup, packing, quality_rules, repeats, secret_scan, sharding, urls
 from .oracle import ORACLE_SQL  # noqa: F401
 
 URL_RULES = [("com/en/", "block"), ("example.com/en/7", "allow"), ("net/de/", "allow"), ("example.net/de/8", "block"), ("org/es/", "block")]
@@ -68,6 +68,10 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *quality_rules.STATS, "base_failed", "kept", "distance")
 
 
+def op11_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return context_trees.score_documents(_docs(spark, sf_dir))
+
+
 def op12_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversations.repaired_digest(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
 
@@ -76,4 +80,4 @@ def op13_fim(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fim.fill_in_middle(_docs(spark, sf_dir)).drop("output")
 
 
-QUERIES = {f.__name__: f for f in (op1_decontam, op2_pack, op3_perplexity, op4_urls, op5_lines, op6_secrets, op7_neardup, op8_shards, op9_repeats, op10_quality, op12_repair, op13_fim)}
+QUERIES = {f.__name__: f for f in (op1_decontam, op2_pack, op3_perplexity, op4_urls, op5_lines, op6_secrets, op7_neardup, op8_shards, op9_repeats, op10_quality, op11_score, op12_repair, op13_fim)}
