@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.arrays import components, near_points, whole_groups
 from ..functions.fixed import BOX_HEIGHT, BOX_MARGIN, BOX_WIDTH, ENDPOINT_GAP, IOU_LIMIT
 from ..functions.geometry import area, corner_inside, fit_score, from_array, iou, is_horizontal, is_vertical, mostly_inside, nearly_equal
 
@@ -22,39 +26,32 @@ def line_segments(segments: DataFrame) -> DataFrame:
 def segment_components(segments: DataFrame, gap: float = ENDPOINT_GAP) -> DataFrame:
     """``component`` (smallest ``seg_idx``) of segments that hang together by ends less than ``gap`` apart.
 
-    Components need all of a page, and a page is small: one group a page, with
-    ends compared as arrays and labels spread until they settle.
+    Pages are dealt by hash and sorted, and a task takes many of them at once.
+    Ends are put into a grid of cells, only neighbouring cells are compared,
+    and the few links between cells are joined into components, so the work
+    grows with the segments of a page and not with their pairs.  A page is in
+    memory as a whole, at about a hundred bytes a segment.  An end with a null
+    coordinate is near to nothing.
     """
     kinds = {f.name: f.dataType.simpleString() for f in segments.schema}
+    names = [*PAGE, "seg_idx"]
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("seg_idx", ignore_index=True)
-        ends = pdf[["x0", "y0", "x1", "y1"]].to_numpy(float).reshape(-1, 2, 2)
-        n = len(ends)
-        near = np.zeros((n, n), bool)
-        for i in (0, 1):
-            for j in (0, 1):
-                near |= np.hypot(ends[:, None, i, 0] - ends[None, :, j, 0], ends[:, None, i, 1] - ends[None, :, j, 1]) < gap
-        np.fill_diagonal(near, True)
-        label = np.arange(n)
-        while True:
-            low = np.where(near, label[None, :], n).min(axis=1)
-            low = low[low]
-            if (low == label).all():
-                break
-            label = low
-        out = pdf[[*PAGE, "seg_idx"]].copy()
-        out["component"] = pdf["seg_idx"].to_numpy()[label]
-        return out
-
-    small = segments.select(*PAGE, "seg_idx", "x0", "y0", "x1", "y1")
-    return small.groupBy(*PAGE).applyInPandas(run, f"doc_id {kinds['doc_id']}, page_index {kinds['page_index']}, seg_idx {kinds['seg_idx']}, component {kinds['seg_idx']}")
-
-
-def candidate_boxes(segments: DataFrame, components: DataFrame, min_width: float = BOX_WIDTH, min_height: float = BOX_HEIGHT) -> DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, page in whole_groups(batches, PAGE):
+            n = batch.num_rows
+            x0, y0, x1, y1 = (batch.column(c).cast(pa.float64()).to_numpy(zero_copy_only=False) for c in ("x0", "y0", "x1", "y1"))
+            u, v = near_points(np.tile(page, 2), np.concatenate([x0, x1]), np.concatenate([y0, y1]), gap)
+            label = components(n, u % n, v % n)
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), batch.column("seg_idx").take(pa.array(label))], [*names, "component"])
+
+    dealt = segments.select(*names, "x0", "y0", "x1", "y1").repartition(*PAGE).sortWithinPartitions(*names)
+    return dealt.mapInArrow(run, ", ".join(f"`{c}` {kinds[c]}" for c in names) + f", component {kinds['seg_idx']}")
+
+
+def candidate_boxes(segments: DataFrame, parts: DataFrame, min_width: float = BOX_WIDTH, min_height: float = BOX_HEIGHT) -> DataFrame:
     """Components of four lines or more, two of them level and two upright, that span the least size."""
     side = [F.col(c) for c in ("x0", "y0", "x1", "y1")]
-    met = segments.join(components, [*PAGE, "seg_idx"])
+    met = segments.join(parts, [*PAGE, "seg_idx"])
     got = met.groupBy(*PAGE, "component").agg(
         F.count(F.lit(1)).cast("int").alias("line_count"),
         F.count_if(is_horizontal(*side)).alias("level"),
