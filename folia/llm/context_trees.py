@@ -16,7 +16,7 @@ from .common import Stored
 from .kernels import _LOWER, _SPACE, Words, slices
 
 #: Bytes of context, and the nearest bytes of it by which trees are dealt to tasks.
-DEPTH, SHARD = 6, 4
+DEPTH, SHARD = 5, 3
 #: The end of a text, which also stands before it; no word holds it.
 END = 10
 #: Number of the end among tokens.  Words are below, grams of bytes at 0 and above.
