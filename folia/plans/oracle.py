@@ -301,6 +301,25 @@ ORACLE["block_order_fill"] = f"""WITH ls AS MATERIALIZED ({_LIST}), bound AS MAT
 ORACLE["font_summary"] = f"""SELECT doc_id, block_idx, CAST(round(round_even(avg(size), 2) * 100) AS BIGINT) AS size_100, count(*) FILTER (flags & 16 <> 0) * 2 > count(*) AS is_bold,
     (SELECT font FROM (SELECT font, count(*) AS c FROM ({sql("spans")}) AS i WHERE i.doc_id = o.doc_id AND i.block_idx = o.block_idx GROUP BY font) AS f ORDER BY c DESC, font LIMIT 1) AS font_name FROM ({sql("spans")}) AS o GROUP BY doc_id, block_idx"""
 ORACLE["span_glyphs"] = f"SELECT doc_id, span_idx, substr(text, i + 1, 1) AS char, CAST(round((x0 + i * (x1 - x0) / length(text)) * 1000) AS BIGINT) AS left, CAST(round((x0 + (i + 0.5) * (x1 - x0) / length(text)) * 1000) AS BIGINT) AS center FROM (SELECT *, unnest(range(length(text))) AS i FROM ({sql('spans')}) AS s) AS t"
+_GLYPHS = f"""SELECT doc_id, page_index, block_idx, span_idx, i, substr(text, i + 1, 1) AS char, x0 + i * ((x1 - x0) / length(text)) AS x0, y0, x0 + (i + 1) * ((x1 - x0) / length(text)) AS x1, y1, x0 AS so, x1 AS se FROM (SELECT *, unnest(range(length(text))) AS i FROM ({sql("spans")}) AS s) AS t"""
+ORACLE["glyphs_in_block"] = f"SELECT b.doc_id, b.block_idx, g.span_idx, g.char, CAST(round(g.x0 * 1000) AS BIGINT) AS left FROM ({_GLYPHS}) AS g JOIN ({_S}) AS b ON g.doc_id = b.doc_id AND g.x0 < b.x1 AND g.x1 > b.x0 AND g.y0 < b.y1 AND g.y1 > b.y0"
+# glyphs of a block one by one: copies near a kept one go, the first line whose mean height is near takes the others
+_NEXT_LINE = f"coalesce(list_position(list_transform(lines, lambda l: abs(l.s / l.n - g.y0) <= {X.LINE_GAP}), TRUE), 0)"
+_COPY = f"len(list_filter(kept, lambda z: z.tier = g.tier AND z.char = g.char AND sqrt((z.cx - g.cx) * (z.cx - g.cx) + (z.cy - g.cy) * (z.cy - g.cy)) < {X.SAME_GLYPH})) > 0"
+_HIGH = "(y1 - y0)"
+ORACLE["glyph_text"] = f"""WITH RECURSIVE g1 AS (SELECT *, (x0 + x1) / 2 AS cx, (y0 + y1) / 2 AS cy, round_even(y0 / {X.LINE_GAP}, 0) AS tier, row_number() OVER (PARTITION BY doc_id, block_idx ORDER BY span_idx, i) AS pos FROM ({_GLYPHS}) AS t),
+    g2 AS (SELECT *, min(pos) OVER (PARTITION BY doc_id, block_idx, tier) AS seen FROM g1),
+    gs AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY doc_id, block_idx ORDER BY seen, x0, pos) AS k FROM g2),
+    fold AS (SELECT doc_id, block_idx, k, 1 AS line, [{{'tier': tier, 'char': char, 'cx': cx, 'cy': cy}}] AS kept, [{{'s': y0, 'n': 1}}] AS lines FROM gs WHERE k = 1
+      UNION ALL SELECT doc_id, block_idx, k, line, CASE WHEN line < 0 THEN kept ELSE list_append(kept, {{'tier': tier, 'char': char, 'cx': cx, 'cy': cy}}) END,
+        CASE WHEN line < 0 THEN lines WHEN line > len(lines) THEN list_append(lines, {{'s': y0, 'n': 1}}) ELSE list_transform(lines, lambda l, j: CASE WHEN j = line THEN {{'s': l.s + y0, 'n': l.n + 1}} ELSE l END) END
+        FROM (SELECT g.*, f.kept, f.lines, CASE WHEN {_COPY} THEN -1 WHEN {_NEXT_LINE} > 0 THEN {_NEXT_LINE} ELSE len(lines) + 1 END AS line
+          FROM fold AS f JOIN gs AS g ON f.doc_id = g.doc_id AND f.block_idx = g.block_idx AND g.k = f.k + 1) AS q),
+    ends AS (SELECT doc_id, block_idx, lines FROM fold QUALIFY row_number() OVER (PARTITION BY doc_id, block_idx ORDER BY k DESC) = 1),
+    placed AS (SELECT g.*, f.line, e.lines[f.line].s / e.lines[f.line].n AS mean FROM fold AS f JOIN gs AS g ON f.doc_id = g.doc_id AND f.block_idx = g.block_idx AND f.k = g.k JOIN ends AS e ON e.doc_id = g.doc_id AND e.block_idx = g.block_idx WHERE f.line > 0),
+    beside AS (SELECT *, lead(line) OVER w AS nline, lead(x0) OVER w - x1 AS gap, lead(so) OVER w AS nso, lead(se) OVER w AS nse, char BETWEEN '가' AND '힣' AS ko, lead(char) OVER w BETWEEN '가' AND '힣' AS nko FROM placed WINDOW w AS (PARTITION BY doc_id, block_idx ORDER BY mean, line, x0, k)),
+    spaced AS (SELECT *, CASE WHEN nline IS NULL THEN '' WHEN nline <> line THEN ' ' WHEN gap > CASE WHEN so <> nso OR se <> nse THEN greatest(1.5, 0.2 * {_HIGH}) WHEN ko AND nko AND gap > 0.4 * {_HIGH} THEN greatest(2.0, 0.25 * {_HIGH}) ELSE greatest(2.0, 0.4 * {_HIGH}) END THEN ' ' ELSE '' END AS gap_text FROM beside)
+    SELECT doc_id, 0 AS page_index, block_idx, text, CAST(length(text) AS INT) AS text_length FROM (SELECT doc_id, block_idx, regexp_replace(trim(string_agg(char || gap_text, '' ORDER BY mean, line, x0, k)), ' +', ' ', 'g') AS text FROM spaced GROUP BY doc_id, block_idx) AS t"""
 _STEM = "'page_' || doc_id || CASE WHEN doc_id % 2 = 0 THEN '_0_res' ELSE '' END"
 ORACLE["image_keys"] = f"SELECT {_STEM} || '_block_' || block_idx || '.png' AS block_id, {_STEM} AS json_stem, block_idx FROM ({_S}) AS t WHERE block_idx % 3 > 0"
 _PICTURE = f"CASE WHEN block_idx % 3 > 0 THEN {_STEM} || '_block_' || block_idx || '.png' END"

@@ -298,6 +298,14 @@ def span_glyphs(spark: SparkSession, d: str) -> DataFrame:
     return got.select("doc_id", "span_idx", "char", F.round(F.col("x0") * 1000).cast("long").alias("left"), F.round(F.col("center_x") * 1000).cast("long").alias("center"))
 
 
+@query
+def glyphs_in_block(spark: SparkSession, d: str) -> DataFrame:
+    """Glyphs of a whole order as one page, clipped to its blocks."""
+    made = glyphs.expand_spans(relation(spark, d, "spans"))
+    got = glyphs.glyphs_in_blocks(made.drop("block_idx"), _shapes(spark, d))
+    return got.select("doc_id", "block_idx", "span_idx", "char", F.round(F.col("x0") * 1000).cast("long").alias("left"))
+
+
 @query
 def glyph_text(spark: SparkSession, d: str) -> DataFrame:
     chars = glyphs.expand_spans(relation(spark, d, "spans")).withColumn("char_idx", F.col("span_idx") * 100 + F.col("x0") / 1000)
