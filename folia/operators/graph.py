@@ -48,12 +48,13 @@ def graph_edges(nodes: DataFrame, refs: DataFrame) -> DataFrame:
 
 def embedding_inputs(nodes: DataFrame) -> DataFrame:
     """One text an article, with all below it and its chapter's title, and one a special on laws or explanations."""
-    articles = nodes.where("type = '조'")
     marked = lambda own: F.when(F.col("rel") == 0, own)
     head = F.concat_ws("\n", F.when((F.col("marker") != "") & (F.col("title") != ""), F.concat("marker", F.lit(" ("), "title", F.lit(")"))), F.nullif("content", F.lit("")))
     shown = marked(head).otherwise(F.when(F.col("marker") != "", F.concat("marker", F.lit(" "), "content")).otherwise(F.col("content")))
-    texts = joined_text(subtree_pairs(nodes, articles), shown).withColumnRenamed("top_uid", "node_uid")
-    found = articles.join(texts, ["doc_id", "node_uid"], "left").join(ancestor_title(nodes, "관"), ["doc_id", "node_uid"], "left")
+    carried = ["preorder", "id", "title", "section_name", "number", "branch", "page", "context"]
+    pairs = subtree_pairs(nodes.withColumn("context", ancestor_title("관")), F.col("type") == "조", *carried)
+    # the order of nodes by section is all that this takes; an article's own facts come with its subtree
+    found = pairs.groupBy(*SECTION, "top_uid").agg(joined_text(shown).alias("text"), F.first("top").alias("top")).select(*SECTION, "text", *(f"top.{c}" for c in carried))
     text = F.concat(F.when(F.coalesce("context", F.lit("")) != "", F.concat(F.lit("["), "context", F.lit("]\n"))).otherwise(""), F.coalesce("text", F.lit("")))
     jo = found.select(*SECTION, "preorder", "id", F.lit("Jo").alias("label"), "title", F.col("section_name").alias("section"), "number", "branch", text.alias("embedding_text"), "page")
     none = F.lit(None).cast("int")

@@ -1,17 +1,23 @@
 """Questions about the tree, over the flat ``nodes`` relation.
 
-A subtree is an interval: the paths of all nodes below one begin with its path.
+Nodes in preorder with their depths are the tree: a subtree is an interval of
+them, and ancestors are the latest nodes of lesser depths.  Windows by section
+answer questions on either, over the order that the nodes have already.
 """
 
 from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.fixed import ASCII_ROMAN, CIRCLED, MOK, SMALL_ROMAN
 
+SECTION = ["doc_id", "section_idx"]
+#: Levels of a tree: the section, ten kinds of headings and a special below them.
+DEPTHS = 12
+
 
 def step_matches(step: str) -> Column:
     """Condition on ``type``, ``number`` and ``branch`` of one step of a path."""
@@ -46,29 +52,59 @@ def of_type(nodes: DataFrame, kind: str) -> DataFrame:
     return nodes.where(F.col("type") == kind).orderBy("doc_id", "preorder")
 
 
-def subtree_pairs(nodes: DataFrame, top: DataFrame) -> DataFrame:
+def nested_sets(nodes: DataFrame) -> DataFrame:
+    """Adds ``last``, the ``preorder`` of the last node of each subtree: nodes from ``preorder`` to ``last`` are the subtree.
+
+    One pass over a section's nodes from the end: the subtree of a node ends
+    before the nearest later node that is no deeper.
+    """
+    back = Window.partitionBy(*SECTION).orderBy(F.desc("preorder"))
+    after = back.rowsBetween(Window.unboundedPreceding, -1)
+    ends = [F.last(F.when(F.col("depth") <= k, F.col("preorder")), ignorenulls=True).over(after) for k in range(DEPTHS)]
+    last_of_section = F.max("preorder").over(Window.partitionBy(*SECTION).orderBy(F.desc("preorder")))
+    return nodes.withColumn("last", F.coalesce(F.get(F.array(*ends), F.col("depth")) - 1, last_of_section))
+
+
+def _above(value: Column, where: Column, own: bool) -> Column:
+    """``value`` of each ancestor (and the node itself, if ``own``) that ``where`` holds for, the section first.
+
+    In preorder the latest node of a lesser depth is the ancestor of that
+    depth, so all ancestors are running values of one window.
+    """
+    before = Window.partitionBy(*SECTION).orderBy("preorder").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    latest = [F.last(F.when(F.col("depth") == k, F.struct(where.alias("is"), value.alias("value"))), ignorenulls=True).over(before) for k in range(DEPTHS)]
+    open_ = F.slice(F.array(*latest), 1, F.col("depth") + (1 if own else 0))
+    return F.transform(F.filter(open_, lambda x: x["is"]), lambda x: x["value"])
+
+
+def subtree_pairs(nodes: DataFrame, top: DataFrame | Column, *carry: str) -> DataFrame:
     """Every node of ``top`` with each node of its subtree, itself among them (columns ``top_uid``, ``rel`` depth).
 
-    A node knows its ancestors by the prefixes of its path, so this is an equi
-    join over exploded prefixes, at most eleven a node.
+    ``top`` is a condition, or some rows of ``nodes``.  Columns named in
+    ``carry`` come along from the top node as a struct ``top``.  One window
+    over the sections gives every node its ancestors, so nothing is joined
+    and only true pairs are made.
     """
-    parts = F.split("path", "/")
-    ups = F.transform(F.sequence(F.lit(1), F.size(parts)), lambda n: F.array_join(F.slice(parts, 1, n), "/"))
-    below = nodes.withColumn("up", F.explode(ups))
-    heads = top.select("doc_id", F.col("path").alias("up"), F.col("node_uid").alias("top_uid"), F.col("depth").alias("top_depth"))
-    return below.join(heads, ["doc_id", "up"]).drop("up").withColumn("rel", F.col("depth") - F.col("top_depth"))
+    if isinstance(top, DataFrame):
+        nodes = nodes.join(top.select("doc_id", "node_uid", F.lit(True).alias("__top")), ["doc_id", "node_uid"], "left")
+        top = F.coalesce("__top", F.lit(False))
+    value = F.struct(F.col("node_uid").alias("top_uid"), F.col("depth").alias("at"), F.struct("node_uid", *carry).alias("top"))
+    met = nodes.withColumn("__all", _above(value, F.coalesce(top, F.lit(False)), own=True)).withColumn("__of", F.explode("__all"))
+    out = met.withColumns({"top_uid": F.col("__of.top_uid"), "rel": F.col("depth") - F.col("__of.at"), "top": F.col("__of.top")})
+    return out.drop("__all", "__of", "__top", *(() if carry else ("top",)))
 
 
-def joined_text(pairs: DataFrame, shown: Column, keep_empty: bool = False) -> DataFrame:
-    """``text`` of each subtree: what is shown of its nodes in preorder, a line each."""
-    rows = pairs.withColumn("__shown", shown)
-    rows = rows if keep_empty else rows.where("__shown <> ''")
-    got = rows.groupBy("doc_id", "top_uid").agg(F.sort_array(F.collect_list(F.struct("preorder", F.col("__shown").alias("t")))).alias("rows"))
-    return got.select("doc_id", "top_uid", F.array_join("rows.t", "\n").alias("text"))
+def joined_text(shown: Column, keep_empty: bool = False) -> Column:
+    """Aggregate over the pairs of a top node: what is shown of its subtree in preorder, a line each."""
+    held = F.collect_list(F.when(F.lit(True) if keep_empty else shown != "", F.struct("preorder", shown.alias("t"))))
+    return F.array_join(F.transform(F.sort_array(held), lambda r: r["t"]), "\n")
 
 
-def full_text(nodes: DataFrame, top: DataFrame, keep_empty: bool = False) -> DataFrame:
-    return joined_text(subtree_pairs(nodes, top), F.col("content"), keep_empty)
+def full_text(nodes: DataFrame, top: DataFrame | Column, keep_empty: bool = False) -> DataFrame:
+    """``text`` of the subtree of each top node that has any; ``section_idx`` is its section."""
+    pairs = subtree_pairs(nodes, top)
+    pairs = pairs if keep_empty else pairs.where("content <> ''")
+    return pairs.groupBy(*SECTION, "top_uid").agg(joined_text(F.col("content"), keep_empty).alias("text"))
 
 
 def section_counts(nodes: DataFrame, refs: DataFrame) -> DataFrame:
@@ -79,7 +115,7 @@ def section_counts(nodes: DataFrame, refs: DataFrame) -> DataFrame:
     return held.join(cited, key, "left").select(*key, "articles", F.coalesce("refs", F.lit(0).cast("long")).alias("refs"))
 
 
-def all_references(nodes: DataFrame, refs: DataFrame, top: DataFrame) -> DataFrame:
+def all_references(nodes: DataFrame, refs: DataFrame, top: DataFrame | Column) -> DataFrame:
     """References of each node's subtree, in preorder and then in order of extraction."""
     pairs = subtree_pairs(nodes, top).select("doc_id", "top_uid", "node_uid", "preorder")
     return pairs.join(refs.withColumnRenamed("owner_uid", "node_uid").drop("section_idx"), ["doc_id", "node_uid"])
@@ -126,10 +162,6 @@ def nested_json(nodes: DataFrame, refs: DataFrame) -> DataFrame:
     return flat.groupBy("doc_id").applyInPandas(assemble, f"doc_id {kind}, tree string")
 
 
-def ancestor_title(nodes: DataFrame, kind: str) -> DataFrame:
-    """``node_uid`` and the title of the nearest ancestor of a kind."""
-    parts = F.split("path", "/")
-    ups = F.transform(F.sequence(F.lit(1), F.size(parts) - 1), lambda n: F.array_join(F.slice(parts, 1, n), "/"))
-    below = nodes.where("depth > 0").select("doc_id", "node_uid", F.explode(ups).alias("up"))
-    heads = nodes.where(F.col("type") == kind).select("doc_id", F.col("path").alias("up"), "depth", "title")
-    return below.join(heads, ["doc_id", "up"]).groupBy("doc_id", "node_uid").agg(F.max_by("title", "depth").alias("context"))
+def ancestor_title(kind: str) -> Column:
+    """The title of the nearest ancestor of a kind, null without one; an expression over whole ``nodes``."""
+    return F.try_element_at(_above(F.col("title"), F.col("type") == kind, own=False), F.lit(-1))

@@ -212,6 +212,11 @@ def _references() -> str:
 
 ORACLE["resolve_refs"] = f"{_references()} SELECT doc_id, section_idx, seq, part, source_id, CAST(ordinal AS INT) AS ordinal, ref_type, target_law, target_jo, target_jo_branch, target_hang, target_ho, target_mok, raw_text, resolved_id FROM found"
 ORACLE["section_counts"] = f"""{_references()} SELECT n.doc_id, n.section_idx, count(*) FILTER (type = '조') AS articles, (SELECT count(*) FROM found AS r WHERE r.doc_id = n.doc_id AND r.section_idx = n.section_idx) AS refs FROM made_nodes AS n GROUP BY 1, 2"""
+# subtrees by steps from parent to child
+_REACH = """reach AS (SELECT doc_id, section_idx, seq, sub, seq AS tseq, sub AS tsub, preorder AS top, type AS ttype, type, content FROM made_nodes
+    UNION ALL SELECT c.doc_id, c.section_idx, c.seq, c.sub, r.tseq, r.tsub, r.top, r.ttype, c.type, c.content FROM reach AS r JOIN made_nodes AS c ON c.doc_id = r.doc_id AND c.section_idx = r.section_idx AND c.parent_seq = r.seq AND c.parent_sub = r.sub)"""
+ORACLE["subtree_sizes"] = f"{_folded()}, {_REACH} SELECT doc_id, top AS preorder, count(*) AS nodes, count(*) FILTER (type = '조') AS articles, CAST(sum(length(content)) AS BIGINT) AS chars FROM reach GROUP BY 1, 2 HAVING count(*) > 1"
+ORACLE["section_references"] = f"{_references()}, {_REACH} SELECT r.doc_id, r.doc_id || ':' || r.section_idx || ':' || r.tseq || ':' || r.tsub AS top_uid, count(*) AS refs, count(f.resolved_id) AS resolved FROM reach AS r JOIN found AS f ON f.doc_id = r.doc_id AND f.section_idx = r.section_idx AND f.owner_seq = r.seq AND f.owner_sub = r.sub WHERE r.ttype = '관' GROUP BY 1, 2"
 ORACLE["reference_statistics"] = f"{_references()} SELECT ref_type, count(*) AS n, count(resolved_id) AS resolved FROM found GROUP BY 1"
 _EDGES = """SELECT c.doc_id, c.section_idx, p.id AS source, c.id AS target, 'HAS_CHILD' AS type, NULL AS raw_text, CAST(NULL AS INT) AS target_jo, CAST(NULL AS INT) AS target_hang, NULL AS law, CAST(NULL AS INT) AS article FROM made_nodes AS c JOIN made_nodes AS p ON p.doc_id = c.doc_id AND p.section_idx = c.section_idx AND p.seq = c.parent_seq AND p.sub = c.parent_sub
     UNION ALL SELECT doc_id, section_idx, source_id, resolved_id, 'REFERENCES', raw_text, target_jo, target_hang, NULL, NULL FROM found WHERE resolved_id IS NOT NULL

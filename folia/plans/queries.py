@@ -157,14 +157,30 @@ def find_node(spark: SparkSession, d: str) -> DataFrame:
 @query
 def section_text(spark: SparkSession, d: str) -> DataFrame:
     nodes, _ = _tree(spark, d)
-    return tree.full_text(nodes, nodes.where("type = 'section'")).join(nodes.select("doc_id", F.col("node_uid").alias("top_uid"), "section_idx"), ["doc_id", "top_uid"]).select("doc_id", "section_idx", "text")
+    return tree.full_text(nodes, F.col("type") == "section").select("doc_id", "section_idx", "text")
 
 
 @query
 def section_whole_text(spark: SparkSession, d: str) -> DataFrame:
     nodes, _ = _tree(spark, d)
-    top = nodes.where("type = 'section'")
-    return tree.full_text(nodes, top, keep_empty=True).join(top.select("doc_id", F.col("node_uid").alias("top_uid"), "section_idx"), ["doc_id", "top_uid"]).select("doc_id", "section_idx", "text")
+    return tree.full_text(nodes, F.col("type") == "section", keep_empty=True).select("doc_id", "section_idx", "text")
+
+
+@query
+def subtree_sizes(spark: SparkSession, d: str) -> DataFrame:
+    """Nodes, articles and characters of the subtree of every node that has children."""
+    nodes = tree.nested_sets(_tree(spark, d)[0])
+    pairs = tree.subtree_pairs(nodes, F.col("last") > F.col("preorder"), "preorder", "last")
+    got = pairs.groupBy("doc_id", F.col("top.preorder").alias("preorder")).agg(F.max(F.col("top.last") - F.col("top.preorder") + 1).alias("nodes"), F.count_if(F.col("type") == "조").alias("articles"), F.sum(F.char_length("content")).alias("chars"))
+    return got
+
+
+@query
+def section_references(spark: SparkSession, d: str) -> DataFrame:
+    """References of every chapter, with all below it."""
+    nodes, refs = _tree(spark, d)
+    got = tree.all_references(nodes, refs, F.col("type") == "관")
+    return got.groupBy("doc_id", "top_uid").agg(F.count(F.lit(1)).alias("refs"), F.count("resolved_id").alias("resolved"))
 
 
 @query
