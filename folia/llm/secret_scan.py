@@ -35,35 +35,26 @@ ALLOWED = [
     r"^[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}$",
     rf"{_FOLDERS}(?:(?:{_WORD}|[0-9]{{1,8}})-+)*+(?:{_WORD}[0-9]{{0,4}}|[0-9]{{1,8}})?-*$",
 ]
-#: Elements that a scan appends to one array before it starts the next.
-_CHUNK = 128
 
 
-def _scan(values: Column, zero: Column, step: Callable[[Column, Column], Column], kind: str) -> Column:
-    """The running states of a fold over an array, one for each element, of SQL type ``kind``.
+def _running(values: Column, first: int, combine: Callable[[Column, Column], Column]) -> Column:
+    """Running sums, maxima or minima of an array of integers; ``first`` changes nothing that it is combined with.
 
-    Appending copies an array, so states are gathered by chunks, whose arrays
-    are gathered in turn: an array of n elements costs about n * _CHUNK copies.
+    By doubling: each pass combines every element with the one 1, 2, 4 ...
+    places before it, so n elements take log n passes over plain numbers, and
+    no state grows from element to element.
     """
-    none = F.array().cast(f"array<{kind}>")
-
-    def one(acc: Column, x: Column) -> Column:
-        # a one-element array binds the new state, which is then computed once
-        new = F.transform(F.array(step(acc["state"], x)), lambda now: F.struct(now.alias("state"), F.array_append(acc["out"], now).alias("out")))
-        return F.get(new, F.lit(0))
-
-    def many(acc: Column, chunk: Column) -> Column:
-        done = F.aggregate(chunk, F.struct(acc["state"].alias("state"), none.alias("out")), one)
-        bound = F.transform(F.array(done), lambda d: F.struct(d["state"].alias("state"), F.array_append(acc["out"], d["out"]).alias("out")))
-        return F.get(bound, F.lit(0))
 
     def whole(bound: Column) -> Column:
         n = F.size(bound)
-        # elements one by one, as slice() goes through the whole array
-        chunk = lambda c: F.transform(F.sequence(c * _CHUNK, F.least(c * _CHUNK + _CHUNK, n) - 1), lambda i: F.get(bound, i))
-        chunks = F.transform(F.sequence(F.lit(0), F.floor((n - 1) / _CHUNK).cast("int")), chunk)
-        start = F.struct(zero.cast(kind).alias("state"), F.array().cast(f"array<array<{kind}>>").alias("out"))
-        return F.when(F.size(bound) > 0, F.flatten(F.aggregate(chunks, start, many)["out"])).otherwise(none)
+
+        def step(acc: Column, k: Column) -> Column:
+            shift = F.call_function("shiftleft", F.lit(1), k)
+            back = F.concat(F.array_repeat(F.lit(first), shift), F.slice(acc, F.lit(1), n - shift))
+            return F.zip_with(back, acc, combine)
+
+        passes = F.sequence(F.lit(0), F.ceil(F.log2(n)).cast("int") - 1)
+        return F.when(n > 1, F.aggregate(passes, bound, step)).otherwise(bound)
 
     return F.get(F.transform(F.array(values), whole), F.lit(0))
 
@@ -80,7 +71,7 @@ def _places(text: Column, pattern: str) -> Column:
 
     def whole(p: Column) -> Column:
         lengths = F.zip_with(F.transform(p["found"], F.char_length), p["gaps"], lambda m, g: F.char_length(g) + F.coalesce(m, F.lit(0)))
-        ends = _scan(lengths, F.lit(0), lambda at, n: at + n, "int")
+        ends = _running(lengths, 0, lambda at, n: at + n)
         # the last gap has no match
         rows = F.zip_with(ends, p["found"], lambda end, m: F.struct((end - F.char_length(m)).alias("start"), end.alias("end"), m.alias("match")))
         return F.filter(rows, lambda m: m["match"].isNotNull())
@@ -100,12 +91,14 @@ def _apart(spans: Column, others: Column) -> Column:
     theirs = F.transform(others, lambda b: F.struct(b["start"].alias("start"), F.lit(0).alias("own"), b["end"].alias("end"), F.lit("").alias("match")))
 
     def clear(rows: Column) -> Column:
-        before = _scan(rows, F.lit(0), lambda far, r: F.when(r["own"] == 0, F.greatest(far, r["end"])).otherwise(far), "int")
-        after = F.reverse(_scan(F.reverse(rows), F.lit(2**31 - 1), lambda near, r: F.when(r["own"] == 0, r["start"]).otherwise(near), "int"))
+        end = F.transform(rows, lambda r: F.when(r["own"] == 0, r["end"]).otherwise(0))
+        start = F.transform(rows, lambda r: F.when(r["own"] == 0, r["start"]).otherwise(2**31 - 1))
+        before = _running(end, 0, lambda a, b: F.greatest(a, b))
+        after = F.reverse(_running(F.reverse(start), 2**31 - 1, lambda a, b: F.least(a, b)))
         met = F.filter(F.arrays_zip(rows.alias("row"), before.alias("before"), after.alias("after")), lambda z: (z["row"]["own"] == 1) & (z["before"] <= z["row"]["start"]) & (z["after"] >= z["row"]["end"]))
         return F.transform(met, lambda z: F.struct(z["row"]["start"].alias("start"), z["row"]["end"].alias("end"), z["row"]["match"].alias("match")))
 
-    both = F.array(F.array_sort(F.concat(mine, theirs)))
+    both = F.array(F.sort_array(F.concat(mine, theirs)))
     return F.when((F.size(others) == 0) | (F.size(spans) == 0), spans).otherwise(F.get(F.transform(both, clear), F.lit(0)))
 
 
@@ -162,28 +155,32 @@ def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     exclusive end, in order of start and then of kind as listed.  Null or empty
     text has none; null ids, repeated rows and an empty table pass as they are.
     Texts of any length are read whole, in time that grows with their length
-    and their number of matches.  Nothing is shuffled.
+    and, but for a logarithm, with their number of matches.  Nothing is
+    shuffled.
     """
-    text = F.coalesce(F.col(text_col), F.lit(""))
+    # the user's row is one column, so none of its names can clash
+    docs = docs.select(F.struct("*").alias("row"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    text = F.col("text")
     kinds = [*(k for k, *_ in BASE), *(k for k, *_ in CLASSES)]
     base = reduce(F.concat, (_base_spans(text, rank, *spec) for rank, spec in enumerate(BASE)))
-    once = docs.withColumn("__base", base)
+    once = docs.withColumn("base", base)
     plain = lambda m: reduce(lambda a, b: a | b, (F.rlike(m["match"], F.lit(p)) for p in ALLOWED))
     mixed = lambda m: (F.char_length(m["match"]) >= WINDOW) & F.rlike(m["match"], F.lit("[0-9]")) & F.rlike(m["match"], F.lit("[A-Za-z]"))
     last = lambda m: F.when(F.rlike(m["match"], F.lit(PATH)), F.substring_index(m["match"], "/", -1)).otherwise(m["match"])
     found = F.filter(_places(text, CANDIDATE), lambda m: mixed(m) & ~plain(m))
     found = F.transform(found, lambda m: F.struct((m["end"] - F.char_length(last(m))).alias("start"), m["end"].alias("end"), last(m).alias("match")))
     candidates = F.filter(found, lambda m: mixed(m) & ~plain(m))
-    once = once.withColumn("__found", candidates)
-    once = once.withColumn("__found", _apart(F.col("__found"), F.col("__base")))
-    candidates = F.col("__found")
+    once = once.withColumn("found", candidates)
+    once = once.withColumn("found", _apart(F.col("found"), F.col("base")))
+    candidates = F.col("found")
     scored = F.transform(candidates, lambda m: F.struct(m["start"].alias("start"), m["end"].alias("end"), m["match"].alias("match"), _peak_entropy(m["match"]).alias("bits")))
     first, second = CLASSES
     kind = lambda m: F.when(F.rlike(m["match"], F.lit(first[1])), F.lit(first[0])).otherwise(F.lit(second[0]))
     high = lambda m: m["bits"] >= F.when(F.rlike(m["match"], F.lit(first[1])), F.lit(first[2])).otherwise(F.lit(second[2]))
     rank = lambda m: F.when(F.rlike(m["match"], F.lit(first[1])), F.lit(kinds.index(first[0]))).otherwise(F.lit(kinds.index(second[0])))
     more = F.transform(F.filter(scored, high), lambda m: F.struct(m["start"].alias("start"), rank(m).alias("rank"), m["end"].alias("end"), kind(m).alias("kind")))
-    return once.withColumn("secrets", F.array_sort(F.concat("__base", more))).drop("__base", "__found")
+    own = [F.col("row")[f.name].alias(f.name) for f in docs.schema["row"].dataType.fields if f.name.lower() != "secrets"]
+    return once.select(*own, F.sort_array(F.concat("base", more)).alias("secrets"))
 
 
 def written_spans(spans: Column) -> Column:
@@ -199,7 +196,7 @@ def redacted(text: Column, spans: Column, mark: str = "[secret]") -> Column:
     """
 
     def cut(p: Column) -> Column:
-        ends = _scan(p["spans"], F.lit(0), lambda far, s: F.greatest(far, s["end"]), "int")
+        ends = _running(F.transform(p["spans"], lambda s: s["end"]), 0, lambda a, b: F.greatest(a, b))
         before = F.concat(F.array(F.lit(0)), ends)
         starts = F.concat(F.transform(p["spans"], lambda s: s["start"]), F.array(F.size(p["chars"])))
         gaps = F.arrays_zip(before.alias("lo"), starts.alias("hi"))

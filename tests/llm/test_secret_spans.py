@@ -97,3 +97,26 @@ def test_redaction(spark):
     df = spark.createDataFrame([(1, text, [(9, 17), (10, 12), (17, 18), (45, 48)]), (2, text, []), (3, "", [])], "id int, text string, spans array<struct<start:int,end:int>>")
     got = {r.id: r.t for r in df.select("id", secret_scan.redacted(F.col("text"), F.col("spans"), "*").alias("t")).collect()}
     assert got == {1: text[:9] + "**" + text[18:45] + "*" + text[48:], 2: text, 3: ""}
+
+
+def test_time_follows_the_number_of_matches(spark):
+    """Four times the matches take far less than sixteen times the time."""
+    rng = random.Random(7)
+    took = {}
+    for n in (1_000, 100_000, 400_000):
+        text = " ".join("".join(rng.choices("0123456789abcdef", k=24)) for _ in range(n))
+        df = spark.createDataFrame([(1, text)], "doc_id int, text string").cache()
+        df.count()
+        began = time.time()
+        (r,) = secret_scan.scan_secrets(df).select(F.size("secrets").alias("n"), F.element_at("secrets", -1)["end"].alias("end")).collect()
+        took[n] = time.time() - began
+        df.unpersist()
+        assert r.n == n and r.end == 25 * n - 1
+    assert took[400_000] < 8 * took[100_000] + 2
+
+
+def test_own_columns_stay(spark):
+    df = spark.createDataFrame([(1, "secret=abcdef12", "a", "b", "c", "d", "e")], "doc_id int, text string, __base string, __found string, `row` string, base string, `a.b` string")
+    r = secret_scan.scan_secrets(df).first()
+    assert (r["__base"], r["__found"], r["row"], r["base"], r["a.b"], r["text"]) == ("a", "b", "c", "d", "e", "secret=abcdef12")
+    assert [tuple(x) for x in r.secrets] == [(0, 0, 15, "assign")]
