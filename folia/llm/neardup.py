@@ -67,14 +67,15 @@ def _band_keys(shingles: np.ndarray, sizes: np.ndarray, factors: np.ndarray) ->
 
 
 def signatures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 85) -> DataFrame:
-    """``doc_id``, ``n_shingles``, 128 bits of the shingle set (``s1``, ``s2``) and its band keys for ``percent`` similarity."""
+    """``doc_id``, ``text_hash``, ``n_shingles``, 128 bits of the shingle set (``s1``, ``s2``) and its band keys for ``percent`` similarity."""
+    kind = docs.schema[id_col].dataType.simpleString()
     factors = _factors(_bands(percent))
     bands_each = len(factors) // ROWS
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lo, hi in slices(batch.column(1)):
-                w = Words(batch.column(1).slice(lo, hi - lo), lower=True)
+            for lo, hi in slices(batch.column(2)):
+                w = Words(batch.column(2).slice(lo, hi - lo), lower=True)
                 shingles, sizes = _sets(w)
                 full = np.flatnonzero(sizes)
                 s = np.zeros((2, hi - lo), np.uint64)
@@ -86,9 +87,9 @@ def signatures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     keys = _band_keys(shingles, sizes[full], factors)
                 ends = np.concatenate([[0], np.cumsum(np.where(sizes > 0, bands_each, 0))]).astype(np.int32)
                 bands = pa.ListArray.from_arrays(pa.array(ends), pa.array(keys.ravel().view(np.int64)))
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), pa.array(sizes), pa.array(s[0].view(np.int64)), pa.array(s[1].view(np.int64)), bands], ["doc_id", "n_shingles", "s1", "s2", "bands"])
+                yield pa.RecordBatch.from_arrays([*(c.slice(lo, hi - lo) for c in batch.columns[:2]), pa.array(sizes), pa.array(s[0].view(np.int64)), pa.array(s[1].view(np.int64)), bands], ["doc_id", "text_hash", "n_shingles", "s1", "s2", "bands"])
 
-    return docs.select(F.col(id_col).cast("long"), F.col(text_col)).mapInArrow(run, "doc_id long, n_shingles long, s1 long, s2 long, bands array<long>")
+    return docs.select(F.col(id_col), F.xxhash64(text_col), F.col(text_col)).mapInArrow(run, f"doc_id {kind}, text_hash long, n_shingles long, s1 long, s2 long, bands array<long>")
 
 
 def _links(ids: np.ndarray, sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
@@ -131,7 +132,8 @@ def _links(ids: np.ndarray, sets: list[np.ndarray], percent: int) -> list[tuple[
 def verified_links(docs: DataFrame, clusters: DataFrame, percent: int, id_col: str, text_col: str) -> DataFrame:
     """Links ``u``-``v`` that span all pairs of a cluster at ``percent`` similarity or more.
 
-    ``clusters``: ``node``, ``cid`` and ``n`` (its shingles).  A cluster is
+    ``clusters``: ``node``, ``cid``, ``n`` (its shingles), and the id and hash
+    of a text that it stands for (``doc_id``, ``text_hash``).  A cluster is
     dealt into blocks of bounded size, and each pair of blocks is one unit of
     work, so a cluster of any size spreads over tasks.  Inside a unit,
     intersections are counted by matrix products over shared shingles; only a
@@ -139,9 +141,9 @@ def verified_links(docs: DataFrame, clusters: DataFrame, percent: int, id_col: s
     """
     sums = clusters.groupBy("cid").agg(F.count(F.lit(1)).alias("c"), F.sum("n").alias("s"))
     blocks = sums.select("cid", F.greatest(F.ceil(F.col("c") / BLOCK_SETS), F.ceil(F.col("s") / BLOCK_SHINGLES)).cast("int").alias("blocks"))
-    dealt = clusters.join(blocks, "cid").select("node", "cid", "blocks", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int").alias("b"))
+    dealt = clusters.join(blocks, "cid").select("doc_id", "text_hash", "node", "cid", "blocks", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int").alias("b"))
     # a sort-merge join at every size: the texts are the large side, and what they meet grows with them
-    met = docs.select(F.col(id_col).cast("long").alias("node"), F.col(text_col).alias("text")).join(dealt.hint("merge"), "node")
+    met = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("text_hash"), F.col(text_col).alias("text")).join(dealt.hint("merge"), ["doc_id", "text_hash"])
 
     def shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -202,8 +204,15 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     (components over a star a bucket), and :func:`verified_links` finds their
     true links; components of these are the result.
     """
+    return _judged(docs, id_col, text_col, percent).select("doc_id", "n_shingles", "component_id", "kept")
+
+
+def _judged(docs: DataFrame, id_col: str, text_col: str, percent: int) -> DataFrame:
+    """As :func:`near_duplicates`, with ``text_hash``, which tells rows of one id apart."""
     sigs = Stored(signatures(docs, id_col, text_col, percent)).df
-    classes = Stored(sigs.where("n_shingles > 0 and doc_id is not null").groupBy("s1", "s2").agg(F.min("doc_id").alias("node"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands"))).df
+    # a class is named by half the bits of its set, as ids need not be numbers, nor be one to a text
+    own = F.min(F.struct("doc_id", "text_hash")).alias("own")
+    classes = Stored(sigs.where("n_shingles > 0 and doc_id is not null").groupBy("s1", "s2").agg(own, F.first("n_shingles").alias("n"), F.first("bands").alias("bands")).withColumnRenamed("s1", "node")).df
     keys = classes.select("node", F.explode("bands").alias("key"))
     buckets = keys.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi"), F.count(F.lit(1)).alias("c")).where("lo < hi")
     held = Stored(buckets)
@@ -212,18 +221,27 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     more = keys.join(buckets.where("c > 2").select("key", "lo"), "key").where("node > lo").select(F.col("node").alias("u"), F.col("lo").alias("v"))
     clusters = connected_components(two.union(more))
     held.drop()
-    sized = clusters.join(classes.select("node", "n"), "node").groupBy("node").agg(F.first("component").alias("cid"), F.max("n").alias("n"))
+    sized = clusters.join(classes.select("node", "n", "own.doc_id", "own.text_hash"), "node").select("node", F.col("component").alias("cid"), "n", "doc_id", "text_hash")
     links = verified_links(docs, Stored(sized).df, percent, id_col, text_col)
     parts = connected_components(links)
-    named = classes.select("s1", "s2", "node").join(parts, "node", "left").select("s1", "s2", F.coalesce("component", "node").alias("component"))
-    out = sigs.select("doc_id", "n_shingles", "s1", "s2").join(named, ["s1", "s2"], "left")
+    heads = parts.join(classes.select("node", "own.doc_id"), "node").groupBy("component").agg(F.min("doc_id").alias("first"))
+    first = parts.join(heads, "component").select("node", "first")
+    named = classes.select("node", "s2", "own.doc_id").join(first, "node", "left").select(F.col("node").alias("s1"), "s2", F.coalesce("first", "doc_id").alias("component"))
+    out = sigs.select("doc_id", "text_hash", "n_shingles", "s1", "s2").join(named, ["s1", "s2"], "left")
     part = F.when(F.col("n_shingles") > 0, F.col("component")).otherwise(F.col("doc_id"))
     kept = F.when(part.isNull(), True).otherwise(F.coalesce(F.col("doc_id") == part, F.lit(False)))
-    return out.select("doc_id", "n_shingles", part.alias("component_id"), kept.alias("kept"))
+    return out.select("doc_id", "text_hash", "n_shingles", part.alias("component_id"), kept.alias("kept"))
 
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 85) -> DataFrame:
-    """The rows of ``docs`` that :func:`near_duplicates` keeps, with their columns; one row of an id that repeats its text."""
-    judged = near_duplicates(docs, id_col, text_col, percent)
-    gone = judged.where(~F.col("kept") & F.col("doc_id").isNotNull()).select(F.col("doc_id").alias("__gone")).distinct()
-    return docs.join(gone, F.col(id_col).cast("long") == F.col("__gone"), "left_anti")
+    """The rows of ``docs`` that :func:`near_duplicates` keeps, with their columns.
+
+    Rows are judged, not ids: of rows that share an id but not their text each
+    stays or goes with its own text.  Rows that agree in both stay or go
+    together, and a row with a null id stays.
+    """
+    name = "gone"
+    while name in map(str.lower, docs.columns):
+        name += "_"
+    gone = _judged(docs, id_col, text_col, percent).where(~F.col("kept") & F.col("doc_id").isNotNull()).select(F.struct("doc_id", "text_hash").alias(name)).distinct()
+    return docs.join(gone, F.struct(F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("text_hash")) == F.col(name), "left_anti")
