@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.fixed import IMAGE_LABELS
@@ -17,10 +18,10 @@ PAGE = ["doc_id", "page_index"]
 
 
 def read_layout(spark: SparkSession, path: str, pattern: str = "*_res.json") -> DataFrame:
-    """One row a page file below ``path``: ``doc_id`` (its folder), ``file_name`` and the page's fields."""
+    """One row a page file below ``path``: ``doc_id`` (its folder), ``file_name``, ``modified`` (its time) and the page's fields."""
     raw = spark.read.schema(LAYOUT).option("multiLine", True).option("recursiveFileLookup", True).option("pathGlobFilter", pattern).json(path)
     folder = F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+)/[^/]+$", 1)
-    return raw.select("*", folder.alias("doc_id"), F.col("_metadata.file_name").alias("file_name"))
+    return raw.select("*", folder.alias("doc_id"), F.col("_metadata.file_name").alias("file_name"), F.col("_metadata.file_modification_time").alias("modified"))
 
 
 def pages_of(layout: DataFrame) -> DataFrame:
@@ -65,9 +66,14 @@ def read_block_images(spark: SparkSession, path: str, label: str | None = None)
     return named.where(F.col("block_label") == label if label else F.col("block_label").isin(IMAGE_LABELS))
 
 
-def read_trees(spark: SparkSession, path: str) -> DataFrame:
-    """Tree JSON as flat ``nodes``, a row a node in preorder, missing keys as in an empty node."""
-    raw = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.json").load(path).select(F.regexp_extract("path", r"([^/]+)\.json$", 1).alias("doc_id"), "content")
+def read_trees(spark: SparkSession, path: str, name: str = "") -> DataFrame:
+    """Tree JSON as flat ``nodes``, a row a node in preorder, missing keys as in an empty node.
+
+    A document is named by its file, or by its folder where ``name`` is that of
+    all tree files.
+    """
+    doc = F.regexp_extract("path", r"([^/]+)/[^/]+$" if name else r"([^/]+)\.json$", 1)
+    raw = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", name or "*.json").load(path).select(doc.alias("doc_id"), "content")
     schema = "doc_id string, preorder long, depth int, node_uid string, parent_uid string, id string, type string, level int, number int, branch int, marker string, title string, content string, page int, metadata string, references string"
 
     def flatten(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -91,7 +97,8 @@ def split_documents(spark: SparkSession, path: str, split: Callable[[bytes], lis
     """Pages of binary documents: ``doc_id``, ``page_index``, ``page_count``, ``page`` and ``error``.
 
     ``split`` turns a document into its pages.  A document that fails gives a
-    row with its error, and the others go on.
+    row with its error, and the others go on.  :func:`.files.read_pages` deals
+    the pages of large documents to many tasks.
     """
     raw = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).where(F.lower("path").endswith(".pdf"))
 
@@ -110,6 +117,57 @@ def split_documents(spark: SparkSession, path: str, split: Callable[[bytes], lis
     return named.mapInPandas(run, "doc_id string, page_index int, page_count int, page binary, error string")
 
 
+#: Models made in this worker, by a token of the call that asked for them.
+_models: dict[str, Callable] = {}
+
+
+def parse_layout(pages: DataFrame, model: Callable[[], Callable[[bytes], dict]]) -> DataFrame:
+    """Layout of page bytes: the columns of ``pages`` but ``page``, with ``layout`` (JSON) and ``error``.
+
+    ``model`` is called once in a Python worker and gives the function that
+    makes a page's layout, so a large model is loaded once and not for each
+    page or batch.  A page that fails has its error and no layout; an error
+    that the page source found stays.
+    """
+    token = uuid.uuid4().hex
+
+    @F.pandas_udf("struct<layout:string,error:string>")
+    def parse(page: pd.Series) -> pd.DataFrame:
+        if token not in _models:
+            _models.clear()  # one model a worker, also where sessions run several stages
+            _models[token] = model()
+        rows = []
+        for p in page:
+            try:
+                rows.append((json.dumps(_models[token](bytes(p)), ensure_ascii=False), None))
+            except Exception as e:  # a page that fails is a row
+                rows.append((None, f"{type(e).__name__}: {e}"))
+        return pd.DataFrame(rows, columns=["layout", "error"])
+
+    asked = F.when(F.col("page").isNotNull(), parse("page"))
+    met = pages.withColumn("__l", asked)
+    old = F.col("error") if "error" in pages.columns else F.lit(None).cast("string")
+    return met.select(*(c for c in pages.columns if c not in ("page", "error")), F.col("__l.layout").alias("layout"), F.coalesce(old, "__l.error").alias("error"))
+
+
+def layout_rows(parsed: DataFrame) -> DataFrame:
+    """Pages that have a layout as :func:`read_layout` gives them; page numbers come from the page source."""
+    fields = [f.name for f in LAYOUT.fields if f.name not in ("page_index", "page_count")]
+    made = parsed.where("layout is not null").withColumn("l", F.from_json("layout", LAYOUT))
+    return made.select(*(F.col(f"l.{c}").alias(c) for c in fields), "page_index", "page_count", "doc_id", page_file_name().alias("file_name"))
+
+
+def page_file_name() -> Column:
+    return F.format_string("page_%04d_0_res.json", F.col("page_index") + 1)
+
+
+def newest_pages(layout: DataFrame) -> DataFrame:
+    """Of several files of one page of a document the one written last, of equals the last by name."""
+    key = F.struct("modified", "file_name")
+    latest = Window.partitionBy(*PAGE).orderBy(F.desc(key))
+    return layout.withColumn("__k", F.row_number().over(latest)).where("__k = 1").drop("__k")
+
+
 def crop_blocks(blocks: DataFrame, pages: DataFrame, crop: Callable[[bytes, list[float], float], bytes | None], zoom: float = 2.0) -> DataFrame:
     """``png`` of every image block, cut from its page by ``crop(page, box, zoom)``; null where that fails."""
     from ..operators.blocks import is_image_block
