@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
-from functools import lru_cache
+from collections.abc import Iterable, Iterator
 
-import pandas as pd
+import ahocorasick
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -16,31 +16,69 @@ from .hierarchy import SECTION
 
 _KINDS = "ref_type string, target_law string, target_jo int, target_jo_branch int, target_hang int, target_ho int, target_mok string, raw_text string"
 _INTERNAL, _PARAGRAPH, _NEAR = re.compile(X.ARTICLE_REFERENCE), re.compile(X.PARAGRAPH_REFERENCE), re.compile(X.ARTICLE_NEAR)
+_TAIL, _ANY = re.compile(X.LAW_TAIL), re.compile(f"({X.ANY_LAW}){X.LAW_TAIL}")
+#: Tasks over which the texts of a document spread.
+SPREAD = 8
 
 
-@lru_cache(maxsize=256)
-def _external(laws: tuple[str, ...]) -> re.Pattern:
-    """Longest names first, so that a name does not hide one that it begins."""
-    names = "|".join(re.escape(x) for x in sorted(laws, key=lambda x: (-len(x), x))) if laws else X.ANY_LAW
-    return re.compile(f"({names}){X.LAW_TAIL}")
+class LawFinder:
+    """Citations of laws with an article: those of given names, or of anything named like a law if none are given.
+
+    Names are found all at once by an automaton (a trie with failure links),
+    so a text takes one pass, however many names there are.  Of names that
+    begin at one place the longest with an article counts, so that a name does
+    not hide one that it begins.
+    """
+
+    def __init__(self, names: Iterable[str] = ()):
+        self.automaton = None
+        known = {n for n in names if n}
+        if known:
+            self.automaton = ahocorasick.Automaton()
+            for n in known:
+                self.automaton.add_word(n, len(n))
+            self.automaton.make_automaton()
+
+    def cites(self, text: str) -> list[tuple[int, int, str, tuple]]:
+        """Start, end, name and numbers (article, branch, paragraph, item) of each citation, none within another."""
+        if self.automaton is None:
+            return [(m.start(), m.end(), m[1], m.groups()[1:]) for m in _ANY.finditer(text)]
+        ends: dict[int, list[int]] = {}
+        for last, n in self.automaton.iter(text):
+            ends.setdefault(last - n + 1, []).append(last + 1)
+        out, free = [], 0
+        for start in sorted(ends):
+            if start >= free:
+                tails = ((stop, _TAIL.match(text, stop)) for stop in sorted(ends[start], reverse=True))
+                found = next(((stop, m) for stop, m in tails if m), None)
+                if found:
+                    stop, m = found
+                    free = m.end()
+                    out.append((start, free, text[start:stop], m.groups()))
+        return out
 
 
 def _int(s: str | None) -> int | None:
     return int(s) if s else None
 
 
-def find_references(text: str, article: int | None, laws: tuple[str, ...] = ()) -> list[tuple]:
+def find_references(text: str, article: int | None, laws: LawFinder | Iterable[str] = ()) -> list[tuple]:
     """External, internal and paragraph-only references of one text, in this order."""
-    cites = list(_external(laws).finditer(text))
-    out = [("external", m[1], int(m[2]), _int(m[3]), _int(m[4]), _int(m[5]), None, m[0]) for m in cites if "약관" not in m[1]]
+    cites = (laws if isinstance(laws, LawFinder) else LawFinder(laws)).cites(text)
+    out = [("external", law, *map(_int, numbers), None, text[a:b]) for a, b, law, numbers in cites if "약관" not in law]
+    k = 0
     for m in _INTERNAL.finditer(text):
-        if not any(c.start() <= m.start() < c.end() for c in cites):
+        while k < len(cites) and cites[k][1] <= m.start():
+            k += 1
+        if k == len(cites) or m.start() < cites[k][0]:
             out.append(("internal", None, int(m[1]), _int(m[2]), _int(m[4]), _int(m[5]), m[6] or None, m[0]))
     if article:
+        known = {r[4] for r in out if r[2]}
         for m in _PARAGRAPH.finditer(text):
             n = int(m[1])
-            if any(r[2] and r[4] == n for r in out) or _NEAR.search(text[max(0, m.start() - X.NEAR) : m.start()]):
+            if n in known or _NEAR.search(text[max(0, m.start() - X.NEAR) : m.start()]):
                 continue
+            known.add(n)
             out.append(("internal", None, article, None, n, None, None, m[0]))
     return out
 
@@ -49,25 +87,43 @@ def extract_references(texts: DataFrame, laws: DataFrame) -> DataFrame:
     """The ``refs`` relation, not yet resolved, with ``ordinal`` in order of extraction within a document's texts.
 
     Spark has no function that gives all matches with their places, so texts
-    go through Python in Arrow batches; names of laws come as one small array a
-    document.
+    go through Python in Arrow batches.  A document's texts are dealt to SPREAD
+    tasks at most, and each task gets the document's names of laws once, before
+    its texts, and makes one automaton of them.
     """
-    named = laws.groupBy("doc_id").agg(F.sort_array(F.collect_set("law")).alias("laws"))
     keys = [*SECTION, "seq", "part", "owner_uid", "source_id"]
-    met = texts.where(F.rlike("text", F.lit("제"))).join(named, "doc_id", "left").select(*keys, "text", "article_no", "laws")
-    kinds = {f.name: f.dataType.simpleString() for f in met.schema}
-
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        cols = [c.split(" ")[0] for c in _KINDS.split(", ")]
-        for pdf in frames:
-            rows = []
-            for key, text, no, known in zip(pdf[keys].itertuples(index=False), pdf["text"], pdf["article_no"], pdf["laws"], strict=True):
-                names = tuple(known) if known is not None else ()
-                rows += [(*key, i, *r) for i, r in enumerate(find_references(text, None if pd.isna(no) else int(no), names))]
-            out = pd.DataFrame(rows, columns=[*keys, "ordinal", *cols])
-            yield out.astype({c: "Int32" for c in cols if c.startswith("target_") and c not in ("target_law", "target_mok")})
-
-    return met.mapInPandas(run, ", ".join(f"{k} {kinds[k]}" for k in keys) + ", ordinal int, " + _KINDS)
+    kinds = {f.name: f.dataType.simpleString() for f in texts.schema}
+    none = {c: F.lit(None).cast(kinds[c]).alias(c) for c in [*keys, "text", "article_no"] if c != "doc_id"}
+    own = texts.where(F.rlike("text", F.lit("제"))).select(F.pmod(F.xxhash64("seq"), F.lit(SPREAD)).cast("int").alias("salt"), F.lit(None).cast("string").alias("law"), *keys, "text", "article_no")
+    # a document without texts needs no names, and one with few gets them few times
+    asked = own.select("doc_id", "salt").distinct()
+    names = laws.where("law is not null").select("doc_id", "law").distinct().join(asked, "doc_id").select("salt", "law", "doc_id", *(none[c] for c in [*keys, "text", "article_no"] if c != "doc_id"))
+    parts = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = own.unionByName(names).repartition(parts, "doc_id", "salt").sortWithinPartitions("doc_id", "salt", F.col("law").isNull())
+    made = [c.split(" ") for c in _KINDS.split(", ")]
+    types = [pa.int32(), *(pa.int32() if kind == "int" else pa.string() for _, kind in made)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, known, finder = None, [], None
+        for batch in batches:
+            source, rows = [], []
+            facts = zip(*(batch.column(c).to_pylist() for c in ("doc_id", "salt", "law", "text", "article_no")), strict=True)
+            for i, (doc, salt, law, text, no) in enumerate(facts):
+                if (doc, salt) != now:
+                    now, known, finder = (doc, salt), [], None
+                if law is not None:
+                    known.append(law)
+                    continue
+                finder = finder or LawFinder(known)
+                for j, r in enumerate(find_references(text, no, finder)):
+                    source.append(i)
+                    rows.append((j, *r))
+            if rows:
+                at = pa.array(source)
+                columns = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)]
+                yield pa.RecordBatch.from_arrays([*(batch.column(k).take(at) for k in keys), *columns], [*keys, "ordinal", *(n for n, _ in made)])
+
+    return dealt.mapInArrow(run, ", ".join(f"{k} {kinds[k]}" for k in keys) + ", ordinal int, " + _KINDS)
 
 
 def resolve_references(refs: DataFrame, nodes: DataFrame) -> DataFrame:
