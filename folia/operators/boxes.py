@@ -7,15 +7,16 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.arrays import components, near_points, whole_groups
 from ..functions.fixed import BOX_HEIGHT, BOX_MARGIN, BOX_WIDTH, ENDPOINT_GAP, IOU_LIMIT
-from ..functions.geometry import area, corner_inside, fit_score, from_array, iou, is_horizontal, is_vertical, mostly_inside, nearly_equal
+from ..functions.geometry import corner_inside, fit_score, from_array, iou, is_horizontal, is_vertical, mostly_inside, nearly_equal
 
 PAGE = ["doc_id", "page_index"]
-_RECT = "struct<x0:double,y0:double,x1:double,y1:double>"
+#: Fixed sizes of the older rules for boxes.
+OLD_WIDTH, OLD_HEIGHT, LEAST_SPAN = 50.0, 30.0, 10.0
 
 
 def line_segments(segments: DataFrame) -> DataFrame:
@@ -139,9 +140,52 @@ def distinct_boxes(boxes: DataFrame, threshold: float = 5.0) -> DataFrame:
     return boxes.join(gone, [*PAGE, "id"], "left_anti")
 
 
-def box_statistics(blocks: DataFrame) -> DataFrame:
-    return blocks.groupBy(*PAGE).agg(F.count(F.lit(1)).alias("blocks"), F.count_if("inside_box").alias("boxed"))
+def legacy_boxes(drawings: DataFrame, segments: DataFrame, annotations: DataFrame | None = None, min_width: float = OLD_WIDTH, min_height: float = OLD_HEIGHT, threshold: float = 5.0) -> DataFrame:
+    """Boxes by the older rules: ``id``, ``rect``, ``width``, ``height`` and ``type`` on each page.
 
+    Candidates of a page come in this order: each drawing's own rectangle
+    (``rect``; ``drawings`` has ``drawing_idx`` and a rectangle or nulls), then
+    what its four or more lines span (``lines``; ``segments`` with
+    ``drawing_idx``); what all lines of the page span, if there are four
+    (``lines_combined``); rectangles of annotations (``annotation``, by
+    ``annotation_idx``).  A drawing's own rectangle always counts, any other
+    only if no box before it is nearly equal.
+
+    Candidates of a page are folded in one row, as each rests on those kept
+    before it; their number is that of the page's drawings and annotations.
+    """
+    side = ("x0", "y0", "x1", "y1")
+
+    def candidates(df: DataFrame, kind: str, rank: int, idx: Column, x0: Column, y0: Column, x1: Column, y1: Column) -> DataFrame:
+        place = F.struct(F.lit(rank).alias("rank"), idx.cast("long").alias("idx"), F.lit(int(kind != "rect")).alias("step"))
+        fields = {"x0": x0, "y0": y0, "x1": x1, "y1": y1, "width": x1 - x0, "height": y1 - y0}
+        row = F.struct(place.alias("place"), *(v.cast("double").alias(k) for k, v in fields.items()), F.lit(kind).alias("type"))
+        return df.select(*PAGE, row.alias("c")).where((F.col("c.width") >= min_width) & (F.col("c.height") >= min_height))
+
+    def spanned(keys: list[str]) -> DataFrame:
+        low = [F.min(F.least(f"{c}0", f"{c}1")).alias(f"{c}0") for c in "xy"]
+        high = [F.max(F.greatest(f"{c}0", f"{c}1")).alias(f"{c}1") for c in "xy"]
+        got = line_segments(segments).groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), *low, *high).where("n >= 4")
+        return got.where((F.col("x1") - F.col("x0") >= LEAST_SPAN) & (F.col("y1") - F.col("y0") >= LEAST_SPAN))
+
+    at = [F.col(c) for c in side]
+    zero = F.lit(0)
+    both = [F.least("x0", "x1"), F.least("y0", "y1"), F.greatest("x0", "x1"), F.greatest("y0", "y1")]
+    found = candidates(drawings.where("x0 is not null and y0 is not null and x1 is not null and y1 is not null"), "rect", 0, F.col("drawing_idx"), *both)
+    found = found.union(candidates(spanned([*PAGE, "drawing_idx"]), "lines", 0, F.col("drawing_idx"), *at))
+    found = found.union(candidates(spanned(PAGE), "lines_combined", 1, zero, *at))
+    if annotations is not None:
+        found = found.union(candidates(annotations, "annotation", 2, F.col("annotation_idx"), *at))
+    listed = found.groupBy(*PAGE).agg(F.sort_array(F.collect_list("c")).alias("cs"))
+    none = F.array().cast(listed.schema["cs"].dataType)
+
+    def keep(kept: Column, c: Column) -> Column:
+        again = F.exists(kept, lambda k: nearly_equal(k, c, threshold))
+        return F.when((c["type"] == "rect") | ~again, F.array_append(kept, c)).otherwise(kept)
+
+    out = listed.select(*PAGE, F.posexplode(F.aggregate("cs", none, keep)).alias("id", "c"))
+    return out.select(*PAGE, "id", F.struct(*(F.col(f"c.{k}").alias(k) for k in side)).alias("rect"), "c.width", "c.height", "c.type")
 
-def rect_area(boxes: DataFrame) -> DataFrame:
-    return boxes.withColumn("area", area(F.col("rect")))
+
+def box_statistics(blocks: DataFrame) -> DataFrame:
+    return blocks.groupBy(*PAGE).agg(F.count(F.lit(1)).alias("blocks"), F.count_if("inside_box").alias("boxed"))

@@ -283,6 +283,20 @@ ORACLE["detect_boxes"] = f"""{_COMPONENTS}, {_CANDIDATES}, ranked AS MATERIALIZE
         FROM kept AS p JOIN ranked AS c ON p.doc_id = c.doc_id AND p.page_index = c.page_index AND c.k = p.k + 1) AS q)
     SELECT r.doc_id, r.page_index, CAST(row_number() OVER (PARTITION BY r.doc_id, r.page_index ORDER BY r.k) - 1 AS INT) AS id, x0, y0, x1, y1, x1 - x0 AS width, y1 - y0 AS height, CAST(line_count AS INT) AS line_count FROM ranked AS r JOIN kept USING (doc_id, page_index, k) WHERE stays"""
 
+# candidates one by one: a drawing's own rectangle stays, others if none that stayed is nearly equal
+_SPAN = "min(least(x0, x1)) AS x0, min(least(y0, y1)) AS y0, max(greatest(x0, x1)) AS x1, max(greatest(y0, y1)) AS y1"
+ORACLE["legacy_boxes"] = f"""WITH RECURSIVE lines AS MATERIALIZED (SELECT *, seg_idx // 5 AS r FROM ({_SEG}) AS s WHERE kind = 'l'),
+    every AS (SELECT doc_id, page_index, 0 AS rank, r, 0 AS step, 'rect' AS type, x0, y0, x1, y1 FROM ({sql("rectangles")}) AS t WHERE r % 3 = 0
+      UNION ALL SELECT doc_id, page_index, 0, r, 1, 'lines', {_SPAN} FROM lines GROUP BY doc_id, page_index, r HAVING count(*) >= 4
+      UNION ALL SELECT doc_id, page_index, 1, 0, 1, 'lines_combined', {_SPAN} FROM lines GROUP BY doc_id, page_index HAVING count(*) >= 4
+      UNION ALL SELECT doc_id, page_index, 2, r, 1, 'annotation', x0 + r % 7, y0, x1, y1 FROM ({sql("rectangles")}) AS t WHERE r % 4 = 0),
+    cs AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY doc_id, page_index ORDER BY rank, r, step) AS k FROM every WHERE x1 - x0 >= 50 AND y1 - y0 >= 30),
+    fold AS (SELECT doc_id, page_index, k, TRUE AS stays, [{{'x0': x0, 'y0': y0, 'x1': x1, 'y1': y1}}] AS kept FROM cs WHERE k = 1
+      UNION ALL SELECT doc_id, page_index, k, stays, CASE WHEN stays THEN list_append(kept, {{'x0': x0, 'y0': y0, 'x1': x1, 'y1': y1}}) ELSE kept END FROM (
+        SELECT c.*, f.kept, c.type = 'rect' OR len(list_filter(f.kept, lambda z: abs(z.x0 - c.x0) < 5 AND abs(z.y0 - c.y0) < 5 AND abs(z.x1 - c.x1) < 5 AND abs(z.y1 - c.y1) < 5)) = 0 AS stays
+        FROM fold AS f JOIN cs AS c ON f.doc_id = c.doc_id AND f.page_index = c.page_index AND c.k = f.k + 1) AS q)
+    SELECT c.doc_id, c.page_index, CAST(row_number() OVER (PARTITION BY c.doc_id, c.page_index ORDER BY c.k) - 1 AS INT) AS id, x0, y0, x1, y1, x1 - x0 AS width, y1 - y0 AS height, type FROM cs AS c JOIN fold AS f ON f.doc_id = c.doc_id AND f.page_index = c.page_index AND f.k = c.k WHERE f.stays"""
+
 _RANK = "row_number() OVER (PARTITION BY doc_id ORDER BY block_order IS NULL, coalesce(block_order, block_id), block_idx)"
 ORACLE["reading_order"] = f"SELECT doc_id, block_idx, {_RANK} AS rank FROM ({_S}) AS t"
 _TEXTS, _IMAGES = (", ".join(f"'{x}'" for x in labels) for labels in (X.TEXT_LABELS, X.IMAGE_LABELS))

@@ -260,6 +260,18 @@ def detect_boxes(spark: SparkSession, d: str) -> DataFrame:
     return boxes.detect_boxes(_segments(spark, d)).select("doc_id", "page_index", "id", "rect.*", "width", "height", "line_count")
 
 
+@query
+def legacy_boxes(spark: SparkSession, d: str) -> DataFrame:
+    """Every third drawing has a rectangle of its own, and every fourth an annotation beside it."""
+    r = relation(spark, d, "rectangles")
+    own = [F.when(F.col("r") % 3 == 0, F.col(c)).alias(c) for c in ("x0", "y0", "x1", "y1")]
+    drawings = r.select("doc_id", "page_index", F.col("r").alias("drawing_idx"), *own)
+    notes = r.where("r % 4 = 0").select("doc_id", "page_index", F.col("r").alias("annotation_idx"), (F.col("x0") + F.col("r") % 7).alias("x0"), "y0", "x1", "y1")
+    lines = _segments(spark, d).withColumn("drawing_idx", F.floor(F.col("seg_idx") / 5))
+    got = boxes.legacy_boxes(drawings, lines, notes)
+    return got.select("doc_id", "page_index", "id", "rect.*", "width", "height", "type")
+
+
 @query
 def distinct_boxes(spark: SparkSession, d: str) -> DataFrame:
     return boxes.distinct_boxes(_boxes(spark, d), 30.0).select("doc_id", "id")

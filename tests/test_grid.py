@@ -89,3 +89,13 @@ def test_whole_groups_and_chains():
         assert all(len(set(zip(map(str, k), g))) == len(set(g)) == len(set(map(str, k))) for k, g in parts)
     order = np.random.default_rng(1).permutation(100_000)
     assert not arrays.components(100_000, order[1:], order[:-1]).any()
+
+
+def test_older_rules_for_boxes(spark):
+    drawings = spark.createDataFrame([(1, 0, 0, 100.0, 50.0, 0.0, 0.0), (1, 0, 1, None, None, None, None), (1, 0, 2, 1.0, 1.0, 101.0, 51.0), (1, 0, 3, 0.0, 0.0, 49.0, 90.0), (2, 0, 0, None, None, None, None)], "doc_id long, page_index int, drawing_idx long, x0 double, y0 double, x1 double, y1 double")
+    frame = lambda d, k, x0, y0, x1, y1: [(d, 0, k * 10 + i, "l", *e, k) for i, e in enumerate([(x0, y0, x1, y0), (x1, y0, x1, y1), (x0, y1, x1, y1), (x0, y0, x0, y1)])]
+    segments = spark.createDataFrame([*frame(1, 0, 2.0, 2.0, 98.0, 49.0), *frame(1, 1, 200.0, 0.0, 300.0, 40.0), *frame(1, 3, 0.0, 0.0, 9.0, 200.0), *frame(2, 0, 0.0, 0.0, 60.0, 60.0)[:3]], SCHEMA + ", drawing_idx long")
+    notes = spark.createDataFrame([(1, 0, 0, 200.0, 1.0, 303.0, 41.0), (1, 0, 1, 500.0, 0.0, 600.0, 90.0), (2, 0, 0, 60.0, 0.0, 0.0, 90.0)], "doc_id long, page_index int, annotation_idx long, x0 double, y0 double, x1 double, y1 double")
+    got = [(r.doc_id, r.id, r.type, tuple(r.rect)) for r in boxes.legacy_boxes(drawings, segments, notes).orderBy("doc_id", "id").collect()]
+    assert got == [(1, 0, "rect", (0.0, 0.0, 100.0, 50.0)), (1, 1, "lines", (200.0, 0.0, 300.0, 40.0)), (1, 2, "rect", (1.0, 1.0, 101.0, 51.0)), (1, 3, "lines_combined", (0.0, 0.0, 300.0, 200.0)), (1, 4, "annotation", (500.0, 0.0, 600.0, 90.0))]
+    assert boxes.legacy_boxes(drawings.limit(0), segments.limit(0)).count() == 0
