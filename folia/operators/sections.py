@@ -11,8 +11,9 @@ from ..functions.text import strip
 
 
 def with_sequence(blocks: DataFrame) -> DataFrame:
-    """``seq``: place of a block in its document, by page file and place on the page."""
-    w = Window.partitionBy("doc_id").orderBy("page_index", "block_idx")
+    """``seq``: place of a block in its document, by the name of its page file (by page where blocks have none) and place on the page."""
+    name = [c for c in ("file_name", "file_stem") if c in blocks.columns][:1]
+    w = Window.partitionBy("doc_id").orderBy(*name, "page_index", "block_idx")
     return blocks.withColumn("seq", F.row_number().over(w) - 1)
 
 

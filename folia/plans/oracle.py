@@ -160,6 +160,8 @@ def _folded() -> str:
 
 ORACLE["parse_nodes"] = f"{_folded()} SELECT doc_id, section_idx, seq, sub, type, level, number, id, parent_seq, parent_sub FROM made_nodes"
 ORACLE["node_text"] = f"{_folded()} SELECT doc_id, preorder, CAST(depth AS INT) AS depth, id, content FROM made_nodes"
+ORACLE["page_file_order"] = f"SELECT doc_id, page_index, block_idx, row_number() OVER (PARTITION BY doc_id ORDER BY 'page_' || (page_index * 5 + doc_id) % 13, page_index, block_idx) - 1 AS seq FROM ({sql('term_blocks')}) AS t"
+ORACLE["newest_pages"] = "SELECT l_orderkey AS doc_id, CAST(l_linenumber % 3 AS INT) AS page_index, 'page_' || l_linenumber AS file_name, strftime(l_shipdate, '%Y-%m-%d') AS modified FROM lineitem QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber % 3 ORDER BY l_shipdate DESC, 'page_' || l_linenumber DESC) = 1"
 ORACLE["section_text"] = f"{_folded()} SELECT doc_id, section_idx, string_agg(content, chr(10) ORDER BY preorder) AS text FROM made_nodes WHERE content <> '' GROUP BY 1, 2"
 ORACLE["section_whole_text"] = f"{_folded()} SELECT doc_id, section_idx, string_agg(content, chr(10) ORDER BY preorder) AS text FROM made_nodes GROUP BY 1, 2"
 _GENERAL = "(SELECT doc_id, arg_min(id, section_idx) AS target FROM made_nodes WHERE type = 'section' AND contains(title, '보통약관') GROUP BY doc_id)"

@@ -11,6 +11,7 @@ from ..functions import text as X
 from ..operators import blocks as B
 from ..operators import boxes, glyphs, graph, hierarchy, references, render, sections, tree, vlm
 from ..sources.layout import image_key
+from ..sources.layout import newest_pages as newest_pages_of
 from .inputs import relation
 
 QUERIES = {}
@@ -85,6 +86,20 @@ def block_sequence(spark: SparkSession, d: str) -> DataFrame:
     return got.select("doc_id", "page_index", "block_idx", F.col("seq").cast("long").alias("seq"))
 
 
+@query
+def page_file_order(spark: SparkSession, d: str) -> DataFrame:
+    """Blocks whose page files are named against the order of pages."""
+    named = _terms(spark, d).drop("seq").withColumn("file_name", F.concat(F.lit("page_"), (F.col("page_index") * 5 + F.col("doc_id")) % 13))
+    return sections.with_sequence(named).select("doc_id", "page_index", "block_idx", F.col("seq").cast("long").alias("seq"))
+
+
+@query
+def newest_pages(spark: SparkSession, d: str) -> DataFrame:
+    """Lines of an order as files of its pages, written when they were shipped."""
+    files = spark.read.parquet(f"{d}/lineitem.parquet").select(F.col("l_orderkey").alias("doc_id"), (F.col("l_linenumber") % 3).cast("int").alias("page_index"), F.concat(F.lit("page_"), "l_linenumber").alias("file_name"), F.col("l_shipdate").alias("modified"))
+    return newest_pages_of(files).select("doc_id", "page_index", "file_name", F.date_format("modified", "yyyy-MM-dd").alias("modified"))
+
+
 @query
 def parse_nodes(spark: SparkSession, d: str) -> DataFrame:
     nodes = hierarchy.build_nodes(hierarchy.parse_blocks(_terms(spark, d)))

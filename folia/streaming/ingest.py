@@ -23,9 +23,11 @@ def complete_documents(pages: DataFrame, lateness: str = "1 hour", wait: str = "
     """Documents all of whose pages have come, once each: ``doc_id``, ``page_count``, ``pages_seen``, ``last_page``.
 
     Every page says how many there are; pages that come twice count once.  The
-    state of a document is its page numbers.  It is let go when the document is
-    complete, or when the watermark, ``lateness`` behind the newest page, has
-    passed its last page by ``wait``; such a document is never given.
+    state of a document is its page numbers, and once it is complete only that
+    it was given, so pages that come again do not give it again.  The state is
+    let go when the watermark, ``lateness`` behind the newest page, has passed
+    the document's last page by ``wait``; one that is not complete by then is
+    never given.
     """
     limit = int(pd.Timedelta(wait).total_seconds() * 1000)
 
@@ -34,17 +36,19 @@ def complete_documents(pages: DataFrame, lateness: str = "1 hour", wait: str = "
             state.remove()
             return
         seen, count, last = state.get if state.exists else ([], 0, 0)
-        seen = set(seen)
+        seen, given = set(seen), count < 0
         for pdf in frames:
             seen |= {int(p) for p in pdf["page_index"].dropna()}
-            count = max(count, int(pdf["page_count"].fillna(0).max()))
+            count = count if given else max(count, int(pdf["page_count"].fillna(0).max()))
             last = max(last, int(pdf["came"].max().timestamp() * 1000))
-        if count and len(seen) >= count:
-            if state.exists:
-                state.remove()
+        if given:
+            state.update(([], -1, last))
+        elif count and len(seen) >= count:
+            state.update(([], -1, last))
             yield pd.DataFrame({"doc_id": [key[0]], "page_count": [count], "pages_seen": [len(seen)], "last_page": [pd.Timestamp(last, unit="ms")]})
         else:
             state.update((sorted(seen), count, last))
+        if state.exists:
             state.setTimeoutTimestamp(max(last, state.getCurrentWatermarkMs() + 1) + limit)
 
     few = pages.withWatermark("came", lateness).select("doc_id", "page_index", "page_count", "came")

@@ -87,6 +87,12 @@ def test_documents_come_once_over_several_runs(spark, tmp_path):
     page("a", 1)
     assert run() == ["a", "b"]
     assert run() == ["a", "b"]
+    # all pages of a document come again
+    (tmp_path / "in" / "b" / "p_0_res.json").rename(tmp_path / "in" / "b" / "again_0_res.json")
+    (tmp_path / "in" / "b" / "p_1_res.json").rename(tmp_path / "in" / "b" / "again_1_res.json")
+    page("c", 0)
+    page("c", 1)
+    assert run() == ["a", "b", "c"]
 
 
 def test_documents_that_fail_are_rows(spark, tmp_path):
