@@ -34,9 +34,10 @@ def without_shared_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The smallest document of every group of near-duplicates, at similarity 0.8; 0.85 is the contract of op7 alone.
 
-    Ids are whole numbers.  Texts without words are near to nothing and stay, as
-    do rows with a null id; a row that repeats an id and its text stays as often
-    as it comes; texts are compared whole; an empty table stays empty.
+    Texts without words are near to nothing and stay, as do rows with a null id;
+    a row that repeats an id and its text stays as often as it comes, and rows
+    that share an id but not their text are judged each by its own; texts are
+    compared whole; an empty table stays empty.
     """
     return neardup.drop_near_duplicates(docs, percent=80)
 
