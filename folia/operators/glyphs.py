@@ -18,8 +18,8 @@ from ..functions.geometry import from_array
 PAGE = ["doc_id", "page_index"]
 BLOCK = [*PAGE, "block_idx"]
 FACTS = ["char", "x0", "y0", "x1", "y1", "center_x", "center_y", "span_origin", "span_end"]
-#: Cells on each side of a page's grid, and most numbers of the state of line clustering.
-GRID = 16
+#: Most cells on each side of a page's grid, glyphs of a page that needs none, and most numbers of the state of line clustering.
+GRID, FEW = 16, 128
 _STATE = 2_000_000
 
 
@@ -36,39 +36,48 @@ def expand_spans(spans: DataFrame) -> DataFrame:
 def glyphs_in_blocks(glyphs: DataFrame, blocks: DataFrame, whole: bool = False, cells: int = GRID) -> DataFrame:
     """Glyphs of a page with the ``block_idx`` of each block whose ``pdf_bbox`` they reach into (or lie in, if ``whole``).
 
-    A page's glyphs span a grid of ``cells`` by ``cells``; glyphs and blocks are
-    dealt to the cells that they touch and meet there, so a page with many of
-    both is no product of the two and its cells spread over tasks.  A pair that
-    meets in several cells counts in the one that holds its top left common
-    corner.  A glyph is given once for each block that it is in; blocks whose
-    box has not four numbers, and glyphs without coordinates, take no part.
+    A page of up to FEW glyphs meets its blocks as it is.  The glyphs of a larger
+    one span a grid, the finer the more they are, of ``cells`` by ``cells`` at
+    most; its glyphs and blocks are dealt to the cells that they touch and meet
+    there, so a page with many of both is no product of the two and its cells
+    spread over tasks.  A pair that meets in several cells counts in the one
+    that holds its top left common corner.  A glyph is given once for each block
+    that it is in; blocks whose box has not four numbers, and glyphs without
+    coordinates, take no part.
     """
     side = ("x0", "y0", "x1", "y1")
-    known = glyphs.where(" and ".join(f"{c} is not null" for c in side))
-    extent = known.groupBy(*PAGE).agg(F.min("x0").alias("px"), F.min("y0").alias("py"), F.max("x1").alias("qx"), F.max("y1").alias("qy"))
-    extent = extent.select(*PAGE, "px", "py", *((F.greatest(F.col(q) - F.col(p), F.lit(1e-6)) / cells).alias(w) for p, q, w in (("px", "qx", "cw"), ("py", "qy", "ch"))))
+    known = glyphs.where(" and ".join(f"{c} is not null" for c in side) + " and x0 <= x1 and y0 <= y1")
+    extent = known.groupBy(*PAGE).agg(F.count(F.lit(1)).alias("n"), F.min("x0").alias("px"), F.min("y0").alias("py"), F.max("x1").alias("qx"), F.max("y1").alias("qy"))
+    few = extent.where(F.col("n") <= FEW).select(*PAGE)
+    fine = F.least(F.ceil(F.sqrt(F.col("n") / FEW)), F.lit(cells)).cast("int")
+    many = extent.where(F.col("n") > FEW).withColumn("side", fine)
+    many = many.select(*PAGE, "px", "py", "side", *((F.greatest(F.col(q) - F.col(p), F.lit(1e-6)) / F.col("side")).alias(w) for p, q, w in (("px", "qx", "cw"), ("py", "qy", "ch"))))
 
     def cell(v: Column, start: str, size: str) -> Column:
-        return F.least(F.greatest(F.floor((v - F.col(start)) / F.col(size)), F.lit(0)), F.lit(cells - 1)).cast("int")
+        return F.least(F.greatest(F.floor((v - F.col(start)) / F.col(size)), F.lit(0)), F.col("side") - 1).cast("int")
 
     def dealt(df: DataFrame, x0: Column, y0: Column, x1: Column, y1: Column) -> DataFrame:
         columns = F.explode(F.sequence(cell(x0, "px", "cw"), cell(x1, "px", "cw")))
         rows = F.explode(F.sequence(cell(y0, "py", "ch"), cell(y1, "py", "ch")))
-        return df.join(extent, PAGE).withColumn("__cx", columns).withColumn("__cy", rows)
+        return df.join(many, PAGE).withColumn("__cx", columns).withColumn("__cy", rows)
 
     of = [F.col(c) for c in side]
     box = from_array(F.col("pdf_bbox"))
     rects = blocks.select(*PAGE, "block_idx", box.alias("__b")).where("__b is not null and __b.x0 <= __b.x1 and __b.y0 <= __b.y1")
-    a = dealt(known.where("x0 <= x1 and y0 <= y1"), *of)
-    b = dealt(rects, *(F.col("__b")[c] for c in side)).drop("px", "py", "cw", "ch")
+    # a glyph's own block, if it has one, makes way for those that it is found in
+    known = known.select(*(c for c in glyphs.columns if c != "block_idx"))
     r = F.col("__b")
     if whole:
         inside = (of[0] >= r["x0"]) & (of[1] >= r["y0"]) & (of[2] <= r["x1"]) & (of[3] <= r["y1"])
     else:
         inside = (of[0] < r["x1"]) & (of[2] > r["x0"]) & (of[1] < r["y1"]) & (of[3] > r["y0"])
+    out = [*PAGE, "block_idx", *(c for c in glyphs.columns if c not in BLOCK)]
+    plain = known.join(rects.join(few, PAGE), PAGE).where(inside).select(*out)
+    a = dealt(known, *of)
+    b = dealt(rects, *(F.col("__b")[c] for c in side)).drop("px", "py", "cw", "ch", "side")
     here = (cell(F.greatest(of[0], r["x0"]), "px", "cw") == F.col("__cx")) & (cell(F.greatest(of[1], r["y0"]), "py", "ch") == F.col("__cy"))
-    met = a.join(b, [*PAGE, "__cx", "__cy"]).where(inside & here)
-    return met.select(*PAGE, "block_idx", *(c for c in glyphs.columns if c not in BLOCK))
+    met = a.join(b, [*PAGE, "__cx", "__cy"]).where(inside & here).select(*out)
+    return plain.unionByName(met)
 
 
 def _first_twins(group: np.ndarray, char: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:

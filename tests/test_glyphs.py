@@ -124,3 +124,15 @@ def test_text_and_font_of_a_box(spark):
     blocks = spark.createDataFrame([(1, 0, 4, "text", "old", [0.0, -1.0, 30.0, 11.0]), (1, 0, 5, "paragraph_title", "old", [0.0, 90.0, 12.0, 120.0]), (1, 0, 6, "table", "old", [0.0, 0.0, 500.0, 500.0]), (1, 0, 7, "text", "old", [300.0, 300.0, 400.0, 400.0])], "doc_id long, page_index int, block_idx int, block_label string, block_content string, pdf_bbox array<double>")
     got = {r.block_idx: (r.block_content, r.text_length, r.font_size, r.is_bold, r.font_name) for r in glyphs.clip_text(blocks, chars, spans).collect()}
     assert got == {4: ("약관", 2, 9.0, True, "Batang"), 5: ("보험", 2, 11.0, False, "Dotum"), 6: ("old", None, None, None, None), 7: ("", 0, None, None, None)}
+
+
+def test_pages_of_few_glyphs_are_not_dealt_to_cells(spark):
+    """Thousands of pages of one glyph each, under a block that covers the page: one pair a page, however fine the grid."""
+    from pyspark.sql import functions as F
+
+    pages = spark.range(2000).select(F.col("id").alias("doc_id"), F.lit(0).alias("page_index"))
+    g = pages.select("*", F.lit(0).alias("char_idx"), *(F.lit(v).alias(c) for c, v in zip(("x0", "y0", "x1", "y1"), (0.0, 0.0, 9.0, 9.0), strict=True)))
+    b = pages.select("*", F.lit(3).alias("block_idx"), F.array(*map(F.lit, (-1.0, -1.0, 99.0, 99.0))).alias("pdf_bbox"))
+    began = time.time()
+    assert glyphs.glyphs_in_blocks(g, b, cells=256).count() == 2000
+    assert time.time() - began < 20
