@@ -25,8 +25,13 @@ def heading(content: Column) -> Column:
     """Struct ``type, level, number, branch, marker, title, body`` of a heading, or null.
 
     The first rule of the grammar that fits decides; sentences that only refer
-    to an article fit none.
+    to an article fit none.  ``content`` may be an expression: it is bound once,
+    as all rules ask for it, and a whole text is long.
     """
+    return F.get(F.transform(F.array(content), _heading), F.lit(0))
+
+
+def _heading(content: Column) -> Column:
     n_rules = len(X.GRAMMAR)
     rule = F.when(_matches(content, X.REFERENCE_SENTENCE) | (content == ""), F.lit(-1))
     for i, (_, _, pattern) in enumerate(X.GRAMMAR):
@@ -82,6 +87,10 @@ def heading(content: Column) -> Column:
 
 def global_special(content: Column) -> Column:
     """Struct ``type, marker, title`` of a block that stands outside the hierarchy, or null."""
+    return F.get(F.transform(F.array(content), _global_special), F.lit(0))
+
+
+def _global_special(content: Column) -> Column:
     title = F.substring(content, 1, 50).alias("title")
     made = lambda kind, marker: F.struct(F.lit(kind).alias("type"), marker.alias("marker"), title)
     return (
@@ -94,6 +103,10 @@ def global_special(content: Column) -> Column:
 
 def forced_article(content: Column) -> Column:
     """Struct ``number, title, body`` of one line that begins as an article but fits no rule, or null."""
+    return F.get(F.transform(F.array(content), _forced_article), F.lit(0))
+
+
+def _forced_article(content: Column) -> Column:
     rest = strip(group(content, X.FORCED_ARTICLE, 2))
     titled = _matches(rest, X.FORCED_TITLE)
     return F.when(

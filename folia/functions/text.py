@@ -77,7 +77,7 @@ def mok_number(c: Column) -> Column:
 
 def roman_number(c: Column) -> Column:
     """Value of a roman numeral up to ten, of one small sign or of letters; 1 if it is none."""
-    small = F.lower(c)
+    small = F.translate(c, "IVXⅠⅡⅢⅣⅤⅥⅦⅧⅨⅩ", "ivx" + SMALL_ROMAN)
     place = F.array_position(F.array(*map(F.lit, ASCII_ROMAN)), small).cast("int")
     return F.coalesce(F.nullif(F.instr(F.lit(SMALL_ROMAN), small), F.lit(0)), F.nullif(place, F.lit(0)), F.lit(1))
 
