@@ -26,7 +26,7 @@ def split_sections(blocks: DataFrame) -> DataFrame:
     w = Window.partitionBy("doc_id").orderBy("seq")
     df = blocks.withColumn("content", strip(F.col("block_content")))
     df = df.withColumn("__title", is_section_title(F.col("content")))
-    df = df.withColumns({"section_idx": F.sum(F.col("__title").cast("int")).over(w).cast("int"), "section_name": F.last(F.when(F.col("__title"), F.col("content")), ignorenulls=True).over(w), "__some": F.max("__title").over(Window.partitionBy("doc_id"))})
+    df = df.withColumns({"section_idx": F.sum(F.col("__title").cast("int")).over(w).cast("int"), "section_name": F.last(F.when(F.col("__title"), F.col("content")), ignorenulls=True).over(w), "__some": F.max("__title").over(w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))})
     df = df.where(F.col("section_name").isNotNull() | ~F.col("__some"))
     return df.withColumns({"section_idx": F.greatest("section_idx", F.lit(1)), "section_name": F.coalesce("section_name", F.lit(DEFAULT_SECTION))}).drop("__title", "__some")
 
