@@ -24,7 +24,10 @@ def line_segments(segments: DataFrame) -> DataFrame:
     return segments.where("kind = 'l'")
 
 
-def segment_components(segments: DataFrame, gap: float = ENDPOINT_GAP) -> DataFrame:
+SIDES = ["x0", "y0", "x1", "y1"]
+
+
+def segment_components(segments: DataFrame, gap: float = ENDPOINT_GAP, sides: bool = False) -> DataFrame:
     """``component`` (smallest ``seg_idx``) of segments that hang together by ends less than ``gap`` apart.
 
     Pages are dealt by hash and sorted, and a task takes many of them at once.
@@ -32,27 +35,33 @@ def segment_components(segments: DataFrame, gap: float = ENDPOINT_GAP) -> DataFr
     and the few links between cells are joined into components, so the work
     grows with the segments of a page and not with their pairs.  A page is in
     memory as a whole, at about a hundred bytes a segment.  An end with a null
-    coordinate is near to nothing.
+    coordinate is near to nothing.  With ``sides`` the coordinates come along.
     """
+    carried = SIDES if sides else []
     kinds = {f.name: f.dataType.simpleString() for f in segments.schema}
     names = [*PAGE, "seg_idx"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, page in whole_groups(batches, PAGE):
             n = batch.num_rows
-            x0, y0, x1, y1 = (batch.column(c).cast(pa.float64()).to_numpy(zero_copy_only=False) for c in ("x0", "y0", "x1", "y1"))
+            x0, y0, x1, y1 = (batch.column(c).cast(pa.float64()).to_numpy(zero_copy_only=False) for c in SIDES)
             u, v = near_points(np.tile(page, 2), np.concatenate([x0, x1]), np.concatenate([y0, y1]), gap)
             label = components(n, u % n, v % n)
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), batch.column("seg_idx").take(pa.array(label))], [*names, "component"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names + carried), batch.column("seg_idx").take(pa.array(label))], [*names, *carried, "component"])
 
-    dealt = segments.select(*names, "x0", "y0", "x1", "y1").repartition(*PAGE).sortWithinPartitions(*names)
-    return dealt.mapInArrow(run, ", ".join(f"`{c}` {kinds[c]}" for c in names) + f", component {kinds['seg_idx']}")
+    dealt = segments.select(*names, *SIDES).repartition(*PAGE).sortWithinPartitions(*names)
+    return dealt.mapInArrow(run, ", ".join(f"`{c}` {kinds[c]}" for c in names + carried) + f", component {kinds['seg_idx']}")
 
 
 def candidate_boxes(segments: DataFrame, parts: DataFrame, min_width: float = BOX_WIDTH, min_height: float = BOX_HEIGHT) -> DataFrame:
-    """Components of four lines or more, two of them level and two upright, that span the least size."""
-    side = [F.col(c) for c in ("x0", "y0", "x1", "y1")]
-    met = segments.join(parts, [*PAGE, "seg_idx"])
+    """Components of four lines or more, two of them level and two upright, that span the least size.
+
+    ``parts`` are the components; where they have the coordinates along,
+    nothing is joined.
+    """
+    side = [F.col(c) for c in SIDES]
+    whole = set(SIDES) <= set(parts.columns)
+    met = parts.where(" and ".join(f"{c} is not null" for c in [*PAGE, "seg_idx"])) if whole else segments.join(parts, [*PAGE, "seg_idx"])
     got = met.groupBy(*PAGE, "component").agg(
         F.count(F.lit(1)).cast("int").alias("line_count"),
         F.count_if(is_horizontal(*side)).alias("level"),
@@ -100,7 +109,7 @@ def suppress(boxes: DataFrame, limit: float = IOU_LIMIT) -> DataFrame:
 
 def detect_boxes(segments: DataFrame, min_width: float = BOX_WIDTH, min_height: float = BOX_HEIGHT) -> DataFrame:
     lines = line_segments(segments)
-    return suppress(candidate_boxes(lines, segment_components(lines), min_width, min_height))
+    return suppress(candidate_boxes(lines, segment_components(lines, sides=True), min_width, min_height))
 
 
 def overlapping_pairs(boxes: DataFrame, limit: float = IOU_LIMIT) -> DataFrame:
