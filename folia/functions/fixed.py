@@ -61,6 +61,8 @@ GRAMMAR = [
     ("대시", "대시", r"(?Ud)^[-－‐–—]\s*(.+)$"),
 ]
 
+#: What articles and the headings above them begin with; no other rule does.
+LEAD = "제"
 ARTICLE_PREFIX = r"(?Ud)^제\s*\d+\s*조"
 STRUCTURE_PREFIX = r"(?Ud)^제\s*\d+\s*(조|관|장|절|편)"
 FORCED_ARTICLE = r"(?Ud)^제\s*(\d+)\s*조\s*(.*)$"
@@ -102,6 +104,8 @@ NO_SECTION_TITLES = [
     r"(?Ud)입니다\.?\s*$",
 ]
 SECTION_TITLE_MOST, DEFAULT_SECTION = 80, "본문"
+#: What stands in every section title: each of SECTION_TITLES asks for one of these.
+SECTION_TITLE_WORDS = ["약관", "법", "령", "규정", "규칙", "주요", "민원", "분쟁", "유의", "/"]
 
 #: References inside a text, for the regular expressions of Python.
 LAW_TAIL = r"\s*제\s*(\d+)\s*조(?:의\s*(\d+))?\s*(?:제?\s*(\d+)\s*항)?(?:제?\s*(\d+)\s*호)?"

@@ -18,7 +18,8 @@ def _matches(c: Column, pattern: str) -> Column:
 def is_section_title(content: Column) -> Column:
     """``content`` is stripped already."""
     any_of = lambda patterns: reduce(lambda a, b: a | b, (_matches(content, p) for p in patterns))
-    return (content != "") & (F.char_length(content) <= X.SECTION_TITLE_MOST) & ~any_of(X.NO_SECTION_TITLES) & any_of(X.SECTION_TITLES)
+    named = reduce(lambda a, b: a | b, (content.contains(w) for w in X.SECTION_TITLE_WORDS))
+    return (content != "") & (F.char_length(content) <= X.SECTION_TITLE_MOST) & named & any_of(X.SECTION_TITLES) & ~any_of(X.NO_SECTION_TITLES)
 
 
 def heading(content: Column) -> Column:
@@ -28,15 +29,25 @@ def heading(content: Column) -> Column:
     to an article fit none.  ``content`` may be an expression: it is bound once,
     as all rules ask for it, and a whole text is long.
     """
-    return F.get(F.transform(F.array(content), _heading), F.lit(0))
+    # each step is bound by a transform of its own: an item taken inside one has its type worked out for every row
+    ruled = F.transform(F.array(content), lambda c: F.struct(c.alias("content"), _rule(c).alias("rule")))
+    return F.get(F.transform(ruled, lambda x: _heading(x["content"], x["rule"])), F.lit(0))
 
 
-def _heading(content: Column) -> Column:
-    n_rules = len(X.GRAMMAR)
-    rule = F.when(_matches(content, X.REFERENCE_SENTENCE) | (content == ""), F.lit(-1))
+def _rule(content: Column) -> Column:
+    """The place in the grammar of the first rule that fits, or -1."""
+    led, others = F.when(_matches(content, X.REFERENCE_SENTENCE), F.lit(-1)), F.when(content == "", F.lit(-1))
     for i, (_, _, pattern) in enumerate(X.GRAMMAR):
-        rule = rule.when(_matches(content, pattern), F.lit(i))
-    rule = rule.otherwise(F.lit(-1))
+        if "^" + X.LEAD in pattern:
+            led = led.when(_matches(content, pattern), F.lit(i))
+        else:
+            others = others.when(_matches(content, pattern), F.lit(i))
+    # rules that ask for the lead are for what begins with it, the others for the rest
+    return F.when(F.startswith(content, F.lit(X.LEAD)), led.otherwise(F.lit(-1))).otherwise(others.otherwise(F.lit(-1)))
+
+
+def _heading(content: Column, rule: Column) -> Column:
+    n_rules = len(X.GRAMMAR)
 
     def one(i: int) -> Column:
         name, kind, pattern = X.GRAMMAR[i]
@@ -80,9 +91,8 @@ def _heading(content: Column) -> Column:
             body.alias("body"),
         )
 
-    # the rule is bound once; only its own branch is worked out
-    pick = lambda r: reduce(lambda c, i: c.when(r == i, one(i)), range(1, n_rules), F.when(r == 0, one(0)))
-    return F.get(F.transform(F.array(rule), pick), F.lit(0))
+    # only the rule's own branch is worked out
+    return reduce(lambda c, i: c.when(rule == i, one(i)), range(1, n_rules), F.when(rule == 0, one(0)))
 
 
 def global_special(content: Column) -> Column:
@@ -120,7 +130,11 @@ def _forced_article(content: Column) -> Column:
 
 
 def law_name(content: Column) -> Column:
-    """The law that a block names, or null."""
+    """The law that a block names, or null; ``content`` is bound once, as for ``heading``."""
+    return F.get(F.transform(F.array(content), _law_name), F.lit(0))
+
+
+def _law_name(content: Column) -> Column:
     return F.when(_matches(content, X.NAMED_LAW), strip(group(content, X.NAMED_LAW, 1))).when(_matches(content, X.LONE_LAW), content)
 
 

@@ -107,6 +107,12 @@ def full_text(nodes: DataFrame, top: DataFrame | Column, keep_empty: bool = Fals
     return pairs.groupBy(*SECTION, "top_uid").agg(joined_text(F.col("content"), keep_empty).alias("text"))
 
 
+def section_texts(nodes: DataFrame, keep_empty: bool = False) -> DataFrame:
+    """``text`` of every section that has any: its subtree is all of its nodes, so no ancestors are asked for."""
+    nodes = nodes if keep_empty else nodes.where("content <> ''")
+    return nodes.groupBy(*SECTION).agg(joined_text(F.col("content"), keep_empty).alias("text"))
+
+
 def section_counts(nodes: DataFrame, refs: DataFrame) -> DataFrame:
     """``articles`` and ``refs`` (both of all depths) of every section; one without any has 0."""
     key = ["doc_id", "section_idx"]
