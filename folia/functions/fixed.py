@@ -63,6 +63,8 @@ GRAMMAR = [
 
 #: What articles and the headings above them begin with; no other rule does.
 LEAD = "제"
+#: What the other rules begin with.
+OTHER_LEADS = rf"(?U)^[【<{CIRCLED}\d{MOK}\s(（\-－‐–—]"
 ARTICLE_PREFIX = r"(?Ud)^제\s*\d+\s*조"
 STRUCTURE_PREFIX = r"(?Ud)^제\s*\d+\s*(조|관|장|절|편)"
 FORCED_ARTICLE = r"(?Ud)^제\s*(\d+)\s*조\s*(.*)$"
@@ -74,7 +76,7 @@ NOTE = r"(?Ud)^비고\s*($|\d)"
 LAW_BLOCK, LAW_WORDS = r"(?Ud)^[\[【]법규", "약관에서 인용된 법"
 
 NAMED_LAW = r"(?Ud)^【법규\d*】\s*(.+)$"
-LONE_LAW = r"(?Ud)^[가-힣]+(?:법|령|규정|규칙)\s*$"
+LONE_LAW, LAW_LEAD = r"(?Ud)^[가-힣]+(?:법|령|규정|규칙)\s*$", "^[가-힣]"
 
 SECTION_TITLES = [
     r"(?Ud)^[가-힣A-Za-z0-9\s\(\),，및]+\s*(보통약관|특별약관|추가약관)\s*$",

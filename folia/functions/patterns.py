@@ -15,6 +15,12 @@ def _matches(c: Column, pattern: str) -> Column:
     return F.rlike(c, F.lit(pattern))
 
 
+def _led(c: Column, leads: str, pattern: str) -> Column:
+    """A pattern for what begins with one of some characters; a whole text that does not is not searched from all its places."""
+    begins = reduce(lambda a, b: a | b, (F.startswith(c, F.lit(x)) for x in leads))
+    return begins & _matches(c, pattern)
+
+
 def is_section_title(content: Column) -> Column:
     """``content`` is stripped already."""
     any_of = lambda patterns: reduce(lambda a, b: a | b, (_matches(content, p) for p in patterns))
@@ -42,8 +48,8 @@ def _rule(content: Column) -> Column:
             led = led.when(_matches(content, pattern), F.lit(i))
         else:
             others = others.when(_matches(content, pattern), F.lit(i))
-    # rules that ask for the lead are for what begins with it, the others for the rest
-    return F.when(F.startswith(content, F.lit(X.LEAD)), led.otherwise(F.lit(-1))).otherwise(others.otherwise(F.lit(-1)))
+    # rules that ask for the lead are for what begins with it, the others for what begins as one of them does
+    return F.when(F.startswith(content, F.lit(X.LEAD)), led.otherwise(F.lit(-1))).when(_matches(F.substring(content, 1, 1), X.OTHER_LEADS), others.otherwise(F.lit(-1))).otherwise(F.lit(-1))
 
 
 def _heading(content: Column, rule: Column) -> Column:
@@ -104,10 +110,10 @@ def _global_special(content: Column) -> Column:
     title = F.substring(content, 1, 50).alias("title")
     made = lambda kind, marker: F.struct(F.lit(kind).alias("type"), marker.alias("marker"), title)
     return (
-        F.when(_matches(content, X.APPENDIX), made("appendix", F.concat(F.lit("[별표"), group(content, X.APPENDIX, 1), F.lit("]"))))
-        .when(_matches(content, X.GLOSSARY), made("glossary", F.lit("※용어정의")))
-        .when(_matches(content, X.NOTE), made("note", F.lit("비고")))
-        .when(content.contains(X.LAW_WORDS) | _matches(content, X.LAW_BLOCK), made("law_reference", F.lit("법규정")))
+        F.when(_led(content, "[【", X.APPENDIX), made("appendix", F.concat(F.lit("[별표"), group(content, X.APPENDIX, 1), F.lit("]"))))
+        .when(_led(content, "※", X.GLOSSARY), made("glossary", F.lit("※용어정의")))
+        .when(_led(content, "비", X.NOTE), made("note", F.lit("비고")))
+        .when(content.contains(X.LAW_WORDS) | _led(content, "[【", X.LAW_BLOCK), made("law_reference", F.lit("법규정")))
     )
 
 
@@ -129,9 +135,33 @@ def _forced_article(content: Column) -> Column:
     )
 
 
+def block_facts(content: Column) -> Column:
+    """Struct of all that the parser's rules say of a block, with its ``content``: ``titled``, ``law``, ``g`` (global special), ``m`` (heading), ``f`` (forced article), ``h`` and ``jp`` (begins as a structure, as an article).
+
+    All rules are asked where ``content`` is bound, before anything is shuffled or sorted.
+    """
+    asked = lambda c: F.struct(c.alias("content"), is_section_title(c).alias("titled"), _law_name(c).alias("law"), _global_special(c).alias("g"), _rule(c).alias("rule"), _led(c, X.LEAD, X.STRUCTURE_PREFIX).alias("h"), _led(c, X.LEAD, X.ARTICLE_PREFIX).alias("jp"))
+
+    def answered(x: Column) -> Column:
+        forced = F.when((x["rule"] < 0) & x["g"].isNull() & x["jp"], _forced_article(x["content"]))
+        return F.struct(*(x[k].alias(k) for k in ("content", "titled", "law", "g", "h", "jp")), _heading(x["content"], x["rule"]).alias("m"), forced.alias("f"))
+
+    return F.get(F.transform(F.transform(F.array(content), asked), answered), F.lit(0))
+
+
 def law_name(content: Column) -> Column:
     """The law that a block names, or null."""
-    return F.when(_matches(content, X.NAMED_LAW), strip(group(content, X.NAMED_LAW, 1))).when(_matches(content, X.LONE_LAW), content)
+    return F.get(F.transform(F.array(content), _law_name), F.lit(0))
+
+
+def _law_name(content: Column) -> Column:
+    lone = _matches(F.substring(content, 1, 1), X.LAW_LEAD) & _matches(content, X.LONE_LAW)
+    return F.when(_led(content, "【", X.NAMED_LAW), strip(group(content, X.NAMED_LAW, 1))).when(lone, content)
+
+
+def cites(text: Column) -> Column:
+    """Whether a text can hold a reference: all of them name an article or a paragraph."""
+    return text.contains("제") & (text.contains("조") | text.contains("항"))
 
 
 def section_type(name: Column) -> Column:

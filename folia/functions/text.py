@@ -8,9 +8,13 @@ from pyspark.sql import functions as F
 from .fixed import ASCII_ROMAN, CIRCLED, MOK, SMALL_ROMAN
 
 
+#: What ``(?U)\\s`` matches.
+WHITE = "\t\n\x0b\x0c\r \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
+
+
 def strip(c: Column) -> Column:
-    """Without Unicode white space at both ends; null is empty."""
-    return F.regexp_replace(F.coalesce(c, F.lit("")), r"(?U)^\s+|\s+$", "")
+    """Without Unicode white space at both ends; null is empty.  A pattern would look at every character of a whole text."""
+    return F.btrim(F.coalesce(c, F.lit("")), F.lit(WHITE))
 
 
 def group(c: Column, pattern: str, n: int) -> Column:

@@ -11,14 +11,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import fixed as X
+from ..functions.patterns import cites
 from ..functions.text import circled
 from .hierarchy import SECTION
 
 _KINDS = "ref_type string, target_law string, target_jo int, target_jo_branch int, target_hang int, target_ho int, target_mok string, raw_text string"
 _INTERNAL, _PARAGRAPH, _NEAR = re.compile(X.ARTICLE_REFERENCE), re.compile(X.PARAGRAPH_REFERENCE), re.compile(X.ARTICLE_NEAR)
 _TAIL, _ANY = re.compile(X.LAW_TAIL), re.compile(f"({X.ANY_LAW}){X.LAW_TAIL}")
-#: Tasks over which the texts of a document spread.
-SPREAD = 8
+#: Tasks over which the texts of a document spread, and blocks of it that stay together.
+SPREAD, TOGETHER = 8, 1024
 
 
 class LawFinder:
@@ -88,15 +89,16 @@ def extract_references(texts: DataFrame, laws: DataFrame) -> DataFrame:
 
     Spark has no function that gives all matches with their places, so texts
     go through Python in Arrow batches.  A document's texts are dealt to SPREAD
-    tasks at most, and each task gets the document's names of laws once, before
-    its texts, and makes one automaton of them.
+    tasks at most, a short document's to one, and each task gets the document's
+    names of laws once, before its texts, and makes one automaton of them.
     """
     keys = [*SECTION, "seq", "part", "owner_uid", "source_id"]
     kinds = {f.name: f.dataType.simpleString() for f in texts.schema}
     none = {c: F.lit(None).cast(kinds[c]).alias(c) for c in [*keys, "text", "article_no"] if c != "doc_id"}
-    own = texts.where(F.rlike("text", F.lit("제"))).select(F.pmod(F.xxhash64("seq"), F.lit(SPREAD)).cast("int").alias("salt"), F.lit(None).cast("string").alias("law"), *keys, "text", "article_no")
-    # a document without texts needs no names, and one with few gets them few times
-    asked = own.select("doc_id", "salt").distinct()
+    salt = F.pmod(F.floor(F.col("seq") / TOGETHER), F.lit(SPREAD)).cast("int").alias("salt")
+    own = texts.where(cites(F.col("text"))).select(salt, F.lit(None).cast("string").alias("law"), *keys, "text", "article_no")
+    # a document without texts needs no names, and one with few gets them few times; no text is read for this
+    asked = texts.select("doc_id", salt).distinct()
     names = laws.where("law is not null").select("doc_id", "law").distinct().join(asked, "doc_id").select("salt", "law", "doc_id", *(none[c] for c in [*keys, "text", "article_no"] if c != "doc_id"))
     parts = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     dealt = own.unionByName(names).repartition(parts, "doc_id", "salt").sortWithinPartitions("doc_id", "salt", F.col("law").isNull())
@@ -133,7 +135,7 @@ def resolve_references(refs: DataFrame, nodes: DataFrame) -> DataFrame:
     article's with the paragraph, item and subitem named, whether or not these
     exist.
     """
-    index = nodes.where("type = '조'").groupBy("doc_id", F.col("section_name").alias("at"), F.col("number").alias("no"), F.coalesce("branch", F.lit(-1)).alias("br")).agg(F.max_by("id", "preorder").alias("article_id"))
+    index = nodes.where("type = '조'").groupBy("doc_id", F.col("section_name").alias("at"), F.col("number").alias("no"), F.coalesce("branch", F.lit(-1)).alias("br")).agg(F.max_by("id", "path" if "path" in nodes.columns else "preorder").alias("article_id"))
     want = F.when((F.col("ref_type") == "internal") & (F.col("target_jo") != 0), F.substring_index("source_id", ".", 1))
     met = refs.withColumns({"at": want, "br": F.coalesce("target_jo_branch", F.lit(-1))}).withColumn("no", F.col("target_jo")).join(index, ["doc_id", "at", "no", "br"], "left")
     part = lambda c, shown: F.when(F.col(c).isNotNull() & (F.col(c).cast("string") != "0"), shown)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.fixed import DEFAULT_SECTION
@@ -23,12 +23,18 @@ def split_sections(blocks: DataFrame) -> DataFrame:
     A section runs from its title block to the next one.  Blocks before the
     first title are dropped; a document without any title is one section.
     """
-    w = Window.partitionBy("doc_id").orderBy("seq")
     df = blocks.withColumn("content", strip(F.col("block_content")))
-    df = df.withColumn("__title", is_section_title(F.col("content")))
-    df = df.withColumns({"section_idx": F.sum(F.col("__title").cast("int")).over(w).cast("int"), "section_name": F.last(F.when(F.col("__title"), F.col("content")), ignorenulls=True).over(w), "__some": F.max("__title").over(w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))})
-    df = df.where(F.col("section_name").isNotNull() | ~F.col("__some"))
-    return df.withColumns({"section_idx": F.greatest("section_idx", F.lit(1)), "section_name": F.coalesce("section_name", F.lit(DEFAULT_SECTION))}).drop("__title", "__some")
+    return in_sections(df.withColumn("heads", F.when(is_section_title(F.col("content")), F.col("content"))))
+
+
+def in_sections(df: DataFrame, outside: Column | None = None) -> DataFrame:
+    """The same for blocks whose titles are told already: ``heads`` is a title's text.  Dropped blocks that ``outside`` holds for stay, as section 0."""
+    w = Window.partitionBy("doc_id").orderBy("seq")
+    titled = F.col("heads").isNotNull()
+    df = df.withColumns({"section_idx": F.sum(titled.cast("int")).over(w).cast("int"), "section_name": F.last("heads", ignorenulls=True).over(w), "__some": F.max(titled).over(w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))})
+    inside = F.col("section_name").isNotNull() | ~F.col("__some")
+    df = df.where(inside if outside is None else inside | outside)
+    return df.withColumns({"section_idx": F.when(inside, F.greatest("section_idx", F.lit(1))).otherwise(0), "section_name": F.coalesce("section_name", F.lit(DEFAULT_SECTION))}).drop("heads", "__some")
 
 
 def sections(blocks: DataFrame) -> DataFrame:
