@@ -28,12 +28,19 @@ def graph_nodes(nodes: DataFrame) -> DataFrame:
 
 def graph_edges(nodes: DataFrame, refs: DataFrame) -> DataFrame:
     """HAS_CHILD for every node below a section, REFERENCES for resolved references, CITES_LAW for external ones."""
+    named = nodes.where("type = 'section'").select(*SECTION, F.col("section_name").alias("section_id"))
+    return edges(nodes, refs).join(named, SECTION).select(*SECTION, "section_id", "source", "target", "type", "properties")
+
+
+def edges(nodes: DataFrame, refs: DataFrame) -> DataFrame:
+    """The same without the sections' names.  Nodes know their parent's id and references their node's, so nothing is joined."""
     empty = F.lit(None).cast("struct<raw_text:string,target_jo:int,target_hang:int,law:string,article:int>").alias("properties")
-    parents = nodes.select("doc_id", F.col("node_uid").alias("parent_uid"), F.col("id").alias("source"))
-    child = nodes.where("parent_uid is not null").join(parents, ["doc_id", "parent_uid"])
-    child = child.select(*SECTION, F.col("section_name").alias("section_id"), "source", F.col("id").alias("target"), F.lit("HAS_CHILD").alias("type"), empty)
+    if "parent_id" not in nodes.columns:  # nodes that were read from files
+        parents = nodes.select("doc_id", F.col("node_uid").alias("parent_uid"), F.col("id").alias("parent_id"))
+        nodes = nodes.join(parents, ["doc_id", "parent_uid"])
+    child = nodes.where("parent_id is not null and doc_id is not null").select(*SECTION, F.col("parent_id").alias("source"), F.col("id").alias("target"), F.lit("HAS_CHILD").alias("type"), empty)
     external = F.col("ref_type") == "external"
-    used = refs.where(external | F.col("resolved_id").isNotNull()).join(nodes.select("doc_id", F.col("node_uid").alias("owner_uid"), F.col("section_name").alias("section_id"), "id"), ["doc_id", "owner_uid"])
+    used = refs.where((external | F.col("resolved_id").isNotNull()) & F.col("doc_id").isNotNull())
     properties = F.struct(
         "raw_text",
         F.when(~external, F.col("target_jo")).alias("target_jo"),
@@ -42,7 +49,7 @@ def graph_edges(nodes: DataFrame, refs: DataFrame) -> DataFrame:
         F.when(external, F.col("target_jo")).alias("article"),
     )
     target = F.when(external, F.concat_ws("_", F.lit("law"), "target_law", F.col("target_jo").cast("string"))).otherwise(F.col("resolved_id"))
-    cites = used.select(*SECTION, "section_id", F.col("id").alias("source"), target.alias("target"), F.when(external, "CITES_LAW").otherwise("REFERENCES").alias("type"), properties.alias("properties"))
+    cites = used.select(*SECTION, F.col("source_id").alias("source"), target.alias("target"), F.when(external, "CITES_LAW").otherwise("REFERENCES").alias("type"), properties.alias("properties"))
     return child.unionByName(cites)
 
 

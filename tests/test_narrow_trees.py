@@ -53,6 +53,12 @@ def test_rules_are_asked_before_the_shuffle(spark, sf_dir):
     assert not any("RLIKE" in x.upper() for x in lines[:first]) and any("RLIKE" in x.upper() for x in lines[first:])
 
 
+def test_edges_join_nothing(spark):
+    parsed = hierarchy.parse_blocks(streams(spark, 2), texts=False)
+    refs = spark.createDataFrame([], "doc_id string, section_idx int, source_id string, ref_type string, resolved_id string, raw_text string, target_law string, target_jo int, target_hang int")
+    assert "Join" not in plan(graph.edges(hierarchy.build_nodes(parsed, texts=False), refs))
+
+
 def test_trees_without_texts_are_the_same(spark):
     for times in (1, 2):
         blocks = streams(spark, times=times).cache()
