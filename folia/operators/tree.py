@@ -65,13 +65,13 @@ def nested_sets(nodes: DataFrame) -> DataFrame:
     return nodes.withColumn("last", F.coalesce(F.get(F.array(*ends), F.col("depth")) - 1, last_of_section))
 
 
-def _above(value: Column, where: Column, own: bool) -> Column:
+def _above(value: Column, where: Column, own: bool, order: str = "preorder") -> Column:
     """``value`` of each ancestor (and the node itself, if ``own``) that ``where`` holds for, the section first.
 
     In preorder the latest node of a lesser depth is the ancestor of that
     depth, so all ancestors are running values of one window.
     """
-    before = Window.partitionBy(*SECTION).orderBy("preorder").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    before = Window.partitionBy(*SECTION).orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     latest = [F.last(F.when(F.col("depth") == k, F.struct(where.alias("is"), value.alias("value"))), ignorenulls=True).over(before) for k in range(DEPTHS)]
     open_ = F.slice(F.array(*latest), 1, F.col("depth") + (1 if own else 0))
     return F.transform(F.filter(open_, lambda x: x["is"]), lambda x: x["value"])
@@ -89,7 +89,9 @@ def subtree_pairs(nodes: DataFrame, top: DataFrame | Column, *carry: str) -> Dat
         nodes = nodes.join(top.select("doc_id", "node_uid", F.lit(True).alias("__top")), ["doc_id", "node_uid"], "left")
         top = F.coalesce("__top", F.lit(False))
     value = F.struct(F.col("node_uid").alias("top_uid"), F.col("depth").alias("at"), F.struct("node_uid", *carry).alias("top"))
-    met = nodes.withColumn("__all", _above(value, F.coalesce(top, F.lit(False)), own=True)).withColumn("__of", F.explode("__all"))
+    # paths of a section are in preorder
+    order = "preorder" if "preorder" in nodes.columns else "path"
+    met = nodes.withColumn("__all", _above(value, F.coalesce(top, F.lit(False)), True, order)).withColumn("__of", F.explode("__all"))
     out = met.withColumns({"top_uid": F.col("__of.top_uid"), "rel": F.col("depth") - F.col("__of.at"), "top": F.col("__of.top")})
     return out.drop("__all", "__of", "__top", *(() if carry else ("top",)))
 
@@ -123,7 +125,8 @@ def section_counts(nodes: DataFrame, refs: DataFrame) -> DataFrame:
 
 def all_references(nodes: DataFrame, refs: DataFrame, top: DataFrame | Column) -> DataFrame:
     """References of each node's subtree, in preorder and then in order of extraction."""
-    pairs = subtree_pairs(nodes, top).select("doc_id", "top_uid", "node_uid", "preorder")
+    pairs = subtree_pairs(nodes, top)
+    pairs = pairs.select("doc_id", "top_uid", "node_uid", *(c for c in ("preorder",) if c in pairs.columns))
     return pairs.join(refs.withColumnRenamed("owner_uid", "node_uid").drop("section_idx"), ["doc_id", "node_uid"])
 
 
